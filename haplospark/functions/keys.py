@@ -2,42 +2,23 @@
 
 Variant tables carry the contig in their file name, depths carry it in a sequence
 header. Both sides have to arrive at the same ``amplicon-sample-contig`` text, so they
-share the rules below. A name that does not hold a key gives nulls; the readers keep
-such names apart instead of failing the job.
+share the last steps below.
+
+The steps are separate projections on purpose. Each one uses the columns of the one before
+several times; written as a single expression they would multiply into generated code too
+large for the JVM to compile.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
 
 
-@dataclass(frozen=True)
-class ContigKey:
-    """The four key columns of one contig."""
-
-    amplicon: Column
-    sample: Column
-    contig: Column
-
-    @property
-    def contig_id(self) -> Column:
-        return F.concat(self.amplicon, F.lit("-"), self.sample, F.lit("-"), self.contig)
-
-    def columns(self) -> dict[str, Column]:
-        return {
-            S.AMPLICON: self.amplicon,
-            S.SAMPLE: self.sample,
-            S.CONTIG: self.contig,
-            S.CONTIG_ID: self.contig_id,
-        }
-
-
 def tokens(text: Column, separator: str) -> Column:
     """Split on a literal separator, keeping empty tokens."""
     if not separator:
@@ -55,47 +36,102 @@ def file_name(path: Column) -> Column:
 
     A plus sign is literal in a path, while URL decoding reads it as a blank.
     """
-    base = F.element_at(F.split(path, "/"), -1)
+    base = F.substring_index(path, "/", -1)
     return F.url_decode(F.replace(base, F.lit("+"), F.lit("%2B")))
 
 
-def _without(text: Column, sample: Column, contig: Column) -> Column:
-    nothing = F.lit("")
-    return F.replace(F.replace(text, sample, nothing), contig, nothing)
+def contig_id(amplicon: Column, sample: Column, contig: Column) -> Column:
+    """The contig key; null as soon as one part is."""
+    return F.concat(amplicon, F.lit("-"), sample, F.lit("-"), contig)
+
+
+def _with_amplicon(df: DataFrame, text: str, separator: str) -> DataFrame:
+    """Amplicon and key: what is left of ``text`` without sample and contig.
+
+    Both are removed wherever they occur, then one separator at each edge.
+    """
+    nothing, edge = F.lit(""), re.escape(separator)
+    rest = F.replace(F.replace(text, S.SAMPLE, nothing), S.CONTIG, nothing)
+    amplicon = F.regexp_replace(rest, f"^{edge}|{edge}\\z", "")
+    return df.withColumn(S.AMPLICON, amplicon).withColumn(
+        S.CONTIG_ID, contig_id(F.col(S.AMPLICON), F.col(S.SAMPLE), F.col(S.CONTIG))
+    )
+
+
+def _with_name_tokens(
+    files: DataFrame, suffix: str, separator: str, sample_index: int, contig_index: int
+) -> DataFrame:
+    stem = F.replace(file_name(F.col("path")), F.lit(suffix), F.lit(""))
+    return (
+        files.withColumn("_stem", stem)
+        .withColumn("_tokens", tokens(F.col("_stem"), separator))
+        .withColumn(S.SAMPLE, token_at(F.col("_tokens"), sample_index))
+        .withColumn(S.CONTIG, token_at(F.col("_tokens"), contig_index))
+    )
 
 
-def _strip_edges(text: Column, separator: str) -> Column:
-    edge = re.escape(separator)
-    return F.regexp_replace(F.regexp_replace(text, f"^{edge}", ""), f"{edge}\\z", "")
+def _name_has_key() -> Column:
+    # Two tokens are a sample and a contig without an amplicon between them.
+    return (F.size("_tokens") != 2) & F.col(S.SAMPLE).isNotNull() & F.col(S.CONTIG).isNotNull()
 
 
-def key_from_file_name(
-    name: Column,
+def with_file_key(
+    files: DataFrame,
     suffix: str = "_ivar.tsv",
     separator: str = "_",
     sample_index: int = 0,
     contig_index: int = -1,
-) -> ContigKey:
-    """Key of a variant table called ``<sample>_<amplicon>_<contig><suffix>``."""
-    stem = F.replace(name, F.lit(suffix), F.lit(""))
-    parts = tokens(stem, separator)
-    sample = token_at(parts, sample_index)
-    contig = token_at(parts, contig_index)
-    rest = _without(stem, sample, contig)
-    amplicon = F.when(rest != separator, _strip_edges(rest, separator))
-    return ContigKey(amplicon, sample, contig)
+) -> DataFrame:
+    """Add the key of variant tables named ``<sample>_<amplicon>_<contig><suffix>``.
+
+    Files whose name holds no key are left out; see ``without_file_key``.
+    """
+    parts = _with_name_tokens(files, suffix, separator, sample_index, contig_index)
+    return _with_amplicon(parts.where(_name_has_key()), "_stem", separator).select(
+        *files.columns, *S.KEY_FIELDS
+    )
+
+
+def without_file_key(
+    files: DataFrame,
+    suffix: str = "_ivar.tsv",
+    separator: str = "_",
+    sample_index: int = 0,
+    contig_index: int = -1,
+) -> DataFrame:
+    """The files that ``with_file_key`` leaves out."""
+    parts = _with_name_tokens(files, suffix, separator, sample_index, contig_index)
+    return parts.where(~_name_has_key()).select(*files.columns)
+
+
+def _with_label(deflines: DataFrame) -> DataFrame:
+    label = F.substring_index(F.replace("line", F.lit(">"), F.lit("")), " ", 1)
+    return deflines.withColumn("_label", label)
+
+
+def _label_has_key(marker: str) -> Column:
+    """Three tokens or more, exactly one of them with the marker."""
+    plain = f"(?![^_]*{re.escape(marker)})[^_]*"
+    marked = f"[^_]*{re.escape(marker)}[^_]*"
+    return F.col("_label").rlike(f"^(?=[^_]*_[^_]*_)(?:{plain}_)*{marked}(?:_{plain})*\\z")
 
 
-def key_from_defline(defline: Column, marker: str = "haplotype") -> ContigKey:
-    """Key of a header line ``>sample_amplicon_<marker>... rest``.
+def with_defline_key(deflines: DataFrame, marker: str = "haplotype") -> DataFrame:
+    """Add the key of header lines ``>sample_amplicon_<marker>... rest``.
 
-    Exactly one token has to contain the marker.
+    Lines without a key are left out; see ``without_defline_key``.
     """
-    label = F.split(F.replace(defline, F.lit(">"), F.lit("")), " ")[0]
-    parts = tokens(label, "_")
-    marked = F.filter(parts, lambda item: F.contains(item, F.lit(marker)))
-    sample = token_at(parts, 0)
-    contig = F.when(F.size(marked) == 1, F.get(marked, 0))
-    rest = _without(label, sample, contig)
-    amplicon = F.when(~rest.isin("", "_"), _strip_edges(rest, "_"))
-    return ContigKey(amplicon, sample, contig)
+    parts = (
+        _with_label(deflines)
+        .where(_label_has_key(marker))
+        .withColumn(S.SAMPLE, F.substring_index("_label", "_", 1))
+        .withColumn(
+            S.CONTIG, F.regexp_extract("_label", f"[^_]*{re.escape(marker)}[^_]*", 0)
+        )
+    )
+    return _with_amplicon(parts, "_label", "_").select(*deflines.columns, *S.KEY_FIELDS)
+
+
+def without_defline_key(deflines: DataFrame, marker: str = "haplotype") -> DataFrame:
+    """The lines that ``with_defline_key`` leaves out."""
+    return _with_label(deflines).where(~_label_has_key(marker)).select(*deflines.columns)

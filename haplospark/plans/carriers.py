@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 from haplospark import schemas as S
 
 
+#: Columns of the benchmark tables that the views use, declared to save a look at the files.
+TABLES = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_returnflag string, l_linestatus string",
+    "part": "p_partkey bigint, p_type string, p_size int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(name: str):
@@ -145,7 +154,8 @@ def primer_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
         .where(key % 23 != 4)
-        .select(F.inline(F.filter(primers, lambda p: p.isNotNull())))
+        .select(F.inline(primers))
+        .where("RESPLICE_NAME IS NOT NULL")
     )
 
 
@@ -180,6 +190,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         mutations(spark, sf_dir)
         .select("POS", "REF", "ALT")
+        .distinct()
         .join(
             table(spark, sf_dir, "part").where(F.col("p_type").isin("ECONOMY", "PROMO", "SMALL")),
             F.col("POS") == F.col("p_partkey"),
@@ -188,8 +199,9 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("REF").alias("ref"),
             F.col("POS").cast("string").alias("pos"),
             F.col("ALT").alias("alt"),
-            F.explode(F.filter(texts, lambda t: t.isNotNull())).alias("info_ANN"),
+            F.explode(texts).alias("info_ANN"),
         )
+        .where("info_ANN IS NOT NULL")
     )
 
 
@@ -257,9 +269,7 @@ def deflines(spark: SparkSession, sf_dir: str) -> DataFrame:
         header(key % 41 == 7, file_number + 100, key, line(name, (size + 1).cast("string"))),
         header(key % 53 == 9, file_number + 200, key, line(F.lit("S1_QIA_1_contig"), value)),
     )
-    return contigs(spark, sf_dir).select(
-        F.inline(F.filter(headers, lambda h: h.isNotNull()))
-    )
+    return contigs(spark, sf_dir).select(F.inline(headers)).where("path IS NOT NULL")
 
 
 def fasta_files(spark: SparkSession, sf_dir: str) -> DataFrame:

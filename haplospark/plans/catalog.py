@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
-from haplospark.functions.keys import file_name, key_from_defline, key_from_file_name
+from haplospark.functions.keys import with_defline_key, with_file_key
 from haplospark.functions.labels import (
     amino_acid_label,
     mutation_flags,
@@ -24,7 +24,7 @@ from haplospark.operators.spans import amplicon_name, amplicon_spans
 from haplospark.operators.summary import contig_ids, mutation_lists, summarize_contigs
 from haplospark.plans import carriers
 from haplospark.plans.report import haplotype_report, with_depth
-from haplospark.scratch import broadcast_if_bounded, materialize
+from haplospark.scratch import materialize, settle
 from haplospark.sources.annotations import annotations_of_files
 from haplospark.sources.fasta import deflines_of_files
 from haplospark.sources.stage import with_signal
@@ -41,18 +41,19 @@ def query(build: Query) -> Query:
 
 
 def _spans(spark, sf_dir):
-    return broadcast_if_bounded(amplicon_spans(carriers.primer_bed(spark, sf_dir)))
+    return settle(amplicon_spans(carriers.primer_bed(spark, sf_dir)), "spans")
 
 
 def _codons(spark, sf_dir):
     return codon_ops.mutation_codons(carriers.annotations(spark, sf_dir))
 
 
-def _long(spark, sf_dir):
+def _long(spark, sf_dir, spans=None):
+    spans = spans or _spans(spark, sf_dir)
     return mutation_ops.classify_mutations(
         carriers.variants(spark, sf_dir),
-        _spans(spark, sf_dir),
-        broadcast_if_bounded(_codons(spark, sf_dir)),
+        spans,
+        settle(_codons(spark, sf_dir), "codons"),
     )
 
 
@@ -61,7 +62,8 @@ def _depths(spark, sf_dir):
 
 
 def _short(spark, sf_dir):
-    return summarize_contigs(_long(spark, sf_dir), _spans(spark, sf_dir))
+    spans = _spans(spark, sf_dir)
+    return summarize_contigs(_long(spark, sf_dir, spans), spans)
 
 
 def _deep(spark, sf_dir):
@@ -136,17 +138,13 @@ def path_tokens(spark, sf_dir):
     paths = carriers.contigs(spark, sf_dir).select(
         "o_orderkey", F.concat(F.lit("file:/a%20b/"), name, F.lit("_ivar.tsv")).alias("path")
     )
-    key = key_from_file_name(file_name(F.col("path")))
-    return paths.select("o_orderkey", *[c.alias(n) for n, c in key.columns().items()])
+    return with_file_key(paths).select("o_orderkey", *S.KEY_FIELDS)
 
 
 @query
 def defline_key(spark, sf_dir):
-    key = key_from_defline(F.col("line"))
-    return carriers.deflines(spark, sf_dir).select(
-        "path",
-        F.col("position.row").alias("row"),
-        *[c.alias(n) for n, c in key.columns().items()],
+    return with_defline_key(carriers.deflines(spark, sf_dir)).select(
+        "path", F.col("position.row").alias("row"), *S.KEY_FIELDS
     )
 
 
@@ -221,7 +219,7 @@ def variants_with_span(spark, sf_dir):
 @query
 def variants_with_codon(spark, sf_dir):
     labelled = mutation_ops.label_variants(carriers.variants(spark, sf_dir))
-    codons = broadcast_if_bounded(_codons(spark, sf_dir))
+    codons = settle(_codons(spark, sf_dir), "codons")
     return mutation_ops.attach_codons(labelled, codons).select(
         S.CONTIG_ID, "NUC_SUB", "REF_AA", "ALT_AA", "CODON"
     )
@@ -232,7 +230,7 @@ def aa_label(spark, sf_dir):
     labelled = mutation_ops.label_variants(carriers.variants(spark, sf_dir))
     joined = mutation_ops.attach_codons(
         mutation_ops.attach_spans(labelled, _spans(spark, sf_dir)),
-        broadcast_if_bounded(_codons(spark, sf_dir)),
+        settle(_codons(spark, sf_dir), "codons"),
     )
     label = amino_acid_label(
         F.col(S.GENE), F.col("REF_AA"), F.col("ALT_AA"), F.col("CODON"), F.col("POS")

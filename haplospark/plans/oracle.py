@@ -192,7 +192,7 @@ ORACLE: dict[str, str] = {
         """SELECT path, row, "Amplicon", "Sample ID", "Contig",
                   "Amplicon" || '-' || "Sample ID" || '-' || "Contig"
                       AS "Amplicon-Sample-Contig"
-           FROM headers"""
+           FROM headers WHERE "Contig" IS NOT NULL"""
     ),
     "defline_depth": _with('SELECT path, row, size AS "Depth of Coverage" FROM headers'),
     "defline_last_wins": _with('SELECT "Amplicon-Sample-Contig", "Depth of Coverage" FROM depths'),

@@ -61,3 +61,8 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Dat
     )
     used = df.agg(F.sum(width.cast("bigint")).alias("used")).first()["used"] or 0
     return F.broadcast(df) if used <= max_bytes else df
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """A lookup table written once, and marked for broadcast if it is small enough."""
+    return broadcast_if_bounded(materialize(df, label))
