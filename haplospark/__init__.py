@@ -11,12 +11,13 @@ from haplospark.operators.summary import contig_ids, mutation_lists, summarize_c
 from haplospark.plans.report import haplotype_report, report_from_long, run_report, sort_report
 from haplospark.sources.annotations import read_annotations
 from haplospark.sources.fasta import read_deflines, undecodable_files
-from haplospark.sources.files import duplicate_paths, list_files, require_sources
+from haplospark.sources.files import FileSet, duplicate_paths, find_files, find_sources
 from haplospark.sources.primers import read_primer_bed
 from haplospark.sources.stage import read_stage, stage, with_signal, write_report, write_stage
 from haplospark.sources.variants import read_variants, rejected_variant_files
 
 __all__ = [
+    "FileSet",
     "amplicon_spans",
     "classify_mutations",
     "contig_depths",
@@ -24,8 +25,9 @@ __all__ = [
     "crude_dnds",
     "duplicate_keys",
     "duplicate_paths",
+    "find_files",
+    "find_sources",
     "haplotype_report",
-    "list_files",
     "mutation_codons",
     "mutation_lists",
     "name_haplotypes",
@@ -38,7 +40,6 @@ __all__ = [
     "rejected_deflines",
     "rejected_variant_files",
     "report_from_long",
-    "require_sources",
     "run_report",
     "sort_report",
     "stage",

@@ -1,0 +1,118 @@
+import csv
+
+import pytest
+
+import haplospark as hs
+from haplospark import schemas as S
+
+HEADER = "REGION\tPOS\tREF\tALT\tREF_AA\tALT_AA\n"
+ANN = "C|missense|MODERATE|S|g|t|x|p|1/1|c.1A>C|{}|rest"
+
+
+@pytest.fixture
+def run(tmp_path):
+    root = tmp_path / "results"
+    for folder in ("sample 1", "sample 2"):
+        (root / folder).mkdir(parents=True)
+    files = {
+        "sample 1/S1_Q_1_haplotype-1_ivar.tsv": HEADER
+        + "r\t30\tA\tC\tK\tN\nr\t20\tG\tT\tL\tL\nr\t20\tG\tT\tL\tL\nr\t25\tG\tT\t\t\n",
+        "sample 1/S1_Q_1_haplotype-2_ivar.tsv": HEADER,
+        "sample 1/S1_Q_1_haplotype-3_ivar.tsv": HEADER + "r\t30\tA\tC\tK\tN\n",
+        "sample 1/S1_Q_2_haplotype-1_ivar.tsv": HEADER + "r\t130\tA\tC\tK\tN\n",
+        "sample 2/S2_Q_1_haplotype-1_ivar.tsv": HEADER + "r\t30\tA\tC\tK\tN\n",
+        "sample 2/S2_Q_9_haplotype-1_ivar.tsv": HEADER + "r\t930\tA\tC\tK\tN\n",
+        "sample 1/S1_Q_1_haplotypes.fasta": ">S1_Q_1_haplotype-1 size=50\nACGT\n"
+        ">S1_Q_1_haplotype-2 size=70\nACGT\n>S1_Q_1_haplotype-3 size=none\nACGT\n",
+        "sample 1/S1_Q_2_haplotypes.fasta": ">S1_Q_2_haplotype-1 size=5\nACGT\n",
+        "sample 2/S2_haplotypes.fasta": ">S2_Q_1_haplotype-1 size=8\nA\n>S2_Q_9_haplotype-1 size=3\n",
+        "sample 1/a.tvcf.tsv": "ref\tpos\talt\tinfo_ANN\n"
+        f"A\t30\tC\t{ANN.format('p.Lys10Asn')}\n",
+        "sample 2/b.tvcf.tsv": f"id\tinfo_ANN\tref\tpos\talt\nx\t{ANN.format('p.Lys10Asn')}\tA\t30\tC\n",
+    }
+    for name, text in files.items():
+        (root / name).write_text(text)
+    bed = tmp_path / "primers.bed"
+    bed.write_text(
+        "r\t11\t31\tn\tQ_1_LEFT\t1\tS\nr\t71\t91\tn\tQ_1_RIGHT\t1\tS\n"
+        "r\t111\t131\tn\tQ_2_LEFT\t1\tS\nr\t171\t191\tn\tQ_2_RIGHT\t1\tS\n"
+        "r\t111\t131\tn\tQ_2_LEFT\t1\tN\nr\t171\t191\tn\tQ_2_RIGHT\t1\tN\n"
+    )
+    return str(root), str(bed), tmp_path / "out"
+
+
+def test_report(spark, run):
+    results, bed, out = run
+    report = hs.run_report(spark, results, bed, str(out))
+    assert report.columns == S.REPORT_COLUMNS
+    # 1 nonsynonymous and 1 synonymous mutation over 2 * 80 - 1 sites each.
+    expected = [
+        ("Q_1 Haplotype 1", "S1", "S", 11, 91, None, 0, None, None, None, None, 70, 80, None),
+        ("Q_1 Haplotype 2", "S1", "S", 11, 91, "G-20-T, G-25-T, A-30-C", 3,
+         "S: L -> L at nuc. position 20", 1, "S: K-10-N", 1, 50, 80, 1.0),
+        ("Q_2 Haplotype 1", "S1", "N", 111, 191, "A-130-C, A-130-C", 2, None, None,
+         "N: K -> N at nuc. position 130, S: K -> N at nuc. position 130", 2, 5, 80, None),
+        ("Q_2 Haplotype 2", "S1", "S", 111, 191, "A-130-C, A-130-C", 2, None, None,
+         "N: K -> N at nuc. position 130, S: K -> N at nuc. position 130", 2, 5, 80, None),
+        ("Q_9 Haplotype 1", "S2", None, None, None, "A-930-C", 1, None, None, None, 1, 3, None, None),
+        ("Q_1 Haplotype 1", "S2", "S", 11, 91, "A-30-C", 1, None, None, "S: K-10-N", 1, 8, 80, None),
+    ]
+    found = [tuple(r) for r in report.drop(S.AMPLICON).collect()]
+    assert found == expected
+    long = hs.read_stage(spark, f"{out}/haplotype_long_table")
+    assert long.columns == [*S.LONG_COLUMNS, "POS"]
+    # Contig 1 has three distinct variants, contig 2 its row of nulls, Q_2 a row per gene.
+    assert long.count() == 3 + 1 + 1 + 2 + 1 + 1
+    written = spark.read.parquet(f"{out}/final_report")
+    assert written.columns == [*S.REPORT_COLUMNS, S.SIGNAL]
+    assert written.count() == 6
+
+
+def test_report_as_csv_keeps_the_order(spark, run):
+    results, bed, out = run
+    report = hs.run_report(spark, results, bed, str(out), report_format="csv")
+    lines = []
+    for part in sorted((out / "final_report").glob("part-*.csv")):
+        with part.open() as file:
+            lines += list(csv.DictReader(file))
+    assert [line[S.HAPLOTYPE] for line in lines] == [r[S.HAPLOTYPE] for r in report.collect()]
+
+
+def test_resume_uses_what_was_staged(spark, run, tmp_path):
+    results, bed, out = run
+    first = hs.run_report(spark, results, bed, str(out)).collect()
+    (tmp_path / "results" / "sample 1" / "S1_Q_1_haplotype-1_ivar.tsv").write_text(HEADER)
+    again = hs.run_report(spark, results, bed, str(out), resume=True).collect()
+    assert again == first
+    anew = hs.run_report(spark, results, bed, str(out)).collect()
+    assert anew != first
+
+
+def test_missing_inputs(spark, run):
+    results, bed, out = run
+    with pytest.raises(FileNotFoundError, match="fas"):
+        hs.run_report(spark, results, bed, str(out), fasta_pattern="*.fas")
+
+
+def test_other_naming(spark, tmp_path):
+    """Separators, places of the tokens and patterns are arguments."""
+    root = tmp_path / "r"
+    root.mkdir()
+    (root / "S1.Q.haplotype-1_ivar.tsv").write_text(HEADER + "r\t1\tA\tC\tNA\tNA\n")
+    (root / "x.fa").write_text(">S1_Q_haplotype-1 12|9\n")
+    (root / "x.vcf").write_text("ref\tpos\talt\tinfo_ANN\n")
+    (tmp_path / "b.bed").write_text("r\t1\t2\tn\tQ_LEFT\t1\tS\nr\t8\t9\tn\tQ_RIGHT\t1\tS\n")
+    report = hs.run_report(
+        spark,
+        str(root),
+        str(tmp_path / "b.bed"),
+        str(tmp_path / "out"),
+        fasta_pattern="*.fa",
+        tidy_pattern="*.vcf",
+        fasta_split_char="|",
+        fasta_split_index=1,
+        ivar_split_char=".",
+        null_value="NA",
+    )
+    row = report.first()
+    assert (row[S.HAPLOTYPE], row[S.DEPTH], row[S.SYN_COUNT]) == ("Q Haplotype 1", 9, None)

@@ -5,6 +5,7 @@ from haplospark import schemas as S
 from haplospark.sources import files as fs
 from haplospark.sources.stage import is_complete
 
+IVAR = "*_ivar.tsv"
 HEADER = "REGION\tPOS\tREF\tALT\tREF_AA\tALT_AA\n"
 
 
@@ -51,7 +52,7 @@ EXPECTED = [
 @pytest.mark.parametrize("whole_file_bytes", [fs.WHOLE_FILE_BYTES, 60, 0])
 def test_variants(spark, rows, tree, whole_file_bytes):
     """Read whole, partly by line, and all by line: the result is the same."""
-    df = hs.read_variants(spark, tree, whole_file_bytes=whole_file_bytes)
+    df = hs.read_variants(hs.find_files(spark, tree, IVAR, whole_file_bytes))
     assert df.columns == S.VARIANT_COLUMNS
     assert variant_rows(rows, df) == sorted(EXPECTED, key=repr)
 
@@ -62,7 +63,7 @@ def test_variants_over_many_splits(spark, rows, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        df = hs.read_variants(spark, str(tmp_path), whole_file_bytes=0)
+        df = hs.read_variants(hs.find_files(spark, str(tmp_path), IVAR, 0))
         found = [r.POS for r in df.select("POS").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -70,45 +71,52 @@ def test_variants_over_many_splits(spark, rows, tmp_path):
 
 
 def test_null_value(spark, rows, tree):
-    df = hs.read_variants(spark, tree, null_value="NA").where("POS = 13")
+    df = hs.read_variants(hs.find_files(spark, tree, IVAR), null_value="NA").where("POS = 13")
     assert rows(df, "REF_AA", "ALT_AA") == [(None, None)]
 
 
 def test_rejected_names(spark, tree):
-    found = hs.rejected_variant_files(spark, tree)
+    found = hs.rejected_variant_files(hs.find_files(spark, tree, IVAR))
     assert [r.name for r in found.collect()] == ["S1_haplotype-9_ivar.tsv"]
 
 
 def test_large_files_are_not_opened_by_the_whole_reader(spark, tree):
-    # A sparse file beyond what a single string can hold: opening it would fail.
+    # A sparse file larger than a single value may be: reading it whole would fail.
     with open(f"{tree}/S1_QIA_9_haplotype-1_ivar.tsv", "wb") as file:
         file.truncate(3 * 1024**3)
-    assert fs.whole_files(spark, tree, "*_ivar.tsv").count() == 5
-    counts = fs.count_files(spark, tree, "*_ivar.tsv")
-    assert (counts.whole, counts.large) == (5, 1)  # the empty file is not listed
+    files = hs.find_files(spark, tree, IVAR)
+    assert files.whole().count() == 5
+    assert files.count_large() == 1
+    assert files.listing().count() == 6  # without the empty file
 
 
 def test_listing(spark, rows, tree):
-    names = [r[0] for r in rows(hs.list_files(spark, tree, "*_ivar.tsv"), "name")]
-    assert "S1_QIA_1_haplotype-2_ivar.tsv" in names
-    assert not any(n.startswith(".") or n.endswith("TSV") for n in names)
-    deep = hs.list_files(spark, tree, "a b/*_ivar.tsv")
-    assert deep.count() == 2
-    assert hs.list_files(spark, tree, "**/*_ivar.tsv").count() == len(names)
+    def names(pattern):
+        return [r[0] for r in rows(hs.find_files(spark, tree, pattern).listing(), "name")]
+
+    found = names(IVAR)
+    assert "S1_QIA_1_haplotype-2_ivar.tsv" in found
+    assert not any(n.startswith(".") or n.endswith("TSV") for n in found)
+    assert len(names("a b/*_ivar.tsv")) == 2
+    assert names("**/*_ivar.tsv") == found
     with pytest.raises(ValueError):
-        hs.list_files(spark, tree, "a/**/b/*.tsv")
-    listed = hs.list_files(spark, tree, "*_ivar.tsv")
+        hs.find_files(spark, tree, "a/**/b/*.tsv")
+    listed = hs.find_files(spark, tree, IVAR).listing()
     assert hs.duplicate_paths(listed).count() == 0
     assert hs.duplicate_paths(listed.union(listed.limit(1))).count() == 1
 
 
+def test_listing_does_not_read_contents(spark, tree):
+    listed = hs.find_files(spark, tree, IVAR).listing()
+    assert "ReadSchema: struct<>" in listed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_files(spark, tree):
     with pytest.raises(FileNotFoundError, match="nothing"):
-        hs.read_variants(spark, tree, "*_nothing.tsv")
+        hs.find_files(spark, tree, "*_nothing.tsv")
     with pytest.raises(FileNotFoundError, match="tvcf"):
-        hs.require_sources(spark, tree, "*_ivar.tsv", "*.tvcf.tsv")
-    counts = hs.require_sources(spark, tree, "*_ivar.tsv")
-    assert counts[0].large == 0
+        hs.find_sources(spark, tree, IVAR, "*.tvcf.tsv")
+    assert len(hs.find_sources(spark, tree, IVAR, "*.TSV")) == 2
 
 
 @pytest.mark.parametrize("whole_file_bytes", [fs.WHOLE_FILE_BYTES, 0])
@@ -133,7 +141,9 @@ def test_annotations(spark, rows, tmp_path, whole_file_bytes):
     write(tmp_path / "three.tvcf.tsv", f"ref\tpos\tinfo_ANN\nA\t1\t{ann.format('p.A1B')}\n")
     write(tmp_path / "four.tvcf.tsv", "ref\tpos\talt\tNUC_SUB\nA\t1\tC\tA-1-C\n")
     write(tmp_path / "five.tvcf.tsv", "ref\tpos\talt\tinfo_ANN\n")
-    found = hs.read_annotations(spark, str(tmp_path), whole_file_bytes=whole_file_bytes)
+    found = hs.read_annotations(
+        hs.find_files(spark, str(tmp_path), "*.tvcf.tsv", whole_file_bytes)
+    )
     assert rows(hs.mutation_codons(found)) == [
         ("A-12-C", 614),
         ("A-12-C", 7),
@@ -151,7 +161,8 @@ def test_depths(spark, rows, tmp_path, whole_file_bytes):
     )
     write(tmp_path / "b_haplotypes.fasta", ">S1_Q_1_haplotype-1 size=120\nA\n>S1_Q_1_haplotype-2 size=1\n")
     write(tmp_path / "c_haplotypes.fasta", b">S1_Q_1_haplotype-8 size=120\nA\n\xff\xfe\n")
-    deflines = hs.read_deflines(spark, str(tmp_path), whole_file_bytes=whole_file_bytes)
+    files = hs.find_files(spark, str(tmp_path), "*_haplotypes.fasta", whole_file_bytes)
+    deflines = hs.read_deflines(files)
     assert rows(hs.contig_depths(deflines)) == [
         ("Q_1-S1-haplotype-1", 120),
         ("Q_1-S1-haplotype-1", 120),
@@ -160,7 +171,7 @@ def test_depths(spark, rows, tmp_path, whole_file_bytes):
         ("Q_1-S1-haplotype-3", None),
     ]
     assert rows(hs.rejected_deflines(deflines), "line") == [(">S1_Q_1_contig size=9",)]
-    skipped = hs.undecodable_files(spark, str(tmp_path), whole_file_bytes=whole_file_bytes)
+    skipped = hs.undecodable_files(files)
     assert [r.path.rsplit("/", 1)[1] for r in skipped.collect()] == ["c_haplotypes.fasta"]
     twice = hs.duplicate_keys(hs.contig_depths(deflines), S.CONTIG_ID)
     assert twice.count() == 2
@@ -172,7 +183,9 @@ def test_last_defline_wins_over_many_splits(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        deflines = hs.read_deflines(spark, str(tmp_path), whole_file_bytes=0)
+        deflines = hs.read_deflines(
+            hs.find_files(spark, str(tmp_path), "*_haplotypes.fasta", 0)
+        )
         assert deflines.rdd.getNumPartitions() > 8
         found = {r[0]: r[1] for r in hs.contig_depths(deflines).collect()}
     finally:
