@@ -99,6 +99,7 @@ def variant_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
         .groupBy("l_orderkey", "block")
         .agg(F.concat_ws("\n", F.collect_list("line")).alias("body"))
+        .hint("merge")
     )
     header = F.when(F.col("o_orderkey") % 2 == 1, "\t".join(other)).otherwise("\t".join(plain))
     folder = F.concat(F.lit("file:/run%20"), F.coalesce(F.col("block"), F.lit(0)).cast("string"))

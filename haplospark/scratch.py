@@ -9,7 +9,7 @@ import uuid
 from functools import cache, reduce
 from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Upper bound, in bytes of row values, for a table that is sent to every executor.
@@ -49,20 +49,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast if its values, measured now, stay within ``max_bytes``.
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values, with an allowance for what surrounds each."""
+    widths = [F.octet_length(F.col(f"`{c}`").cast("string")) for c in df.columns]
+    return reduce(add, [F.coalesce(w, F.lit(0)) + 16 for w in widths]).cast("bigint")
 
-    Beyond the bound it comes back unmarked and the join shuffles; adaptive execution then
-    splits skewed keys. The measurement runs ``df``, so pass a table that is cheap to read.
-    """
-    width = reduce(
-        add,
-        [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns],
-    )
-    used = df.agg(F.sum(width.cast("bigint")).alias("used")).first()["used"] or 0
-    return F.broadcast(df) if used <= max_bytes else df
 
+def settle(df: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A lookup table written once, and marked for broadcast if it is small enough.
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """A lookup table written once, and marked for broadcast if it is small enough."""
-    return broadcast_if_bounded(materialize(df, label))
+    Its size is added up while it is written. Above ``max_bytes`` it comes back unmarked and
+    joins with it shuffle; adaptive execution then splits skewed keys.
+    """
+    size = Observation()
+    measured = df.observe(size, F.sum(_row_bytes(df)).alias("bytes"))
+    written = materialize(measured, label)
+    return F.broadcast(written) if (size.get["bytes"] or 0) <= max_bytes else written
