@@ -117,11 +117,12 @@ def variant_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def primer_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A left and a right primer per part, with the irregularities of real panels.
 
-    Some parts have no primers, no right primer, a second left primer, a second gene, no
-    gene, or a primer name without a side.
+    Some parts have primers of another panel, no right primer, a second left primer, a second
+    gene, no gene, or a primer name without a side.
     """
     key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
-    amplicon = F.concat(F.lit("QIA_"), key.cast("string"))
+    panel = F.when(key % 23 == 4, "OTHER_").otherwise("QIA_")
+    amplicon = F.concat(panel, key.cast("string"))
     gene = F.when(key % 10 == 3, None).when(key % 3 == 0, "S").when(key % 3 == 1, "N").otherwise(
         "ORF1a"
     )
@@ -154,7 +155,6 @@ def primer_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "part")
-        .where(key % 23 != 4)
         .select(F.inline(primers))
         .where("RESPLICE_NAME IS NOT NULL")
     )
@@ -163,7 +163,8 @@ def primer_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated substitutions, from the parts at the positions of the line items.
 
-    Some annotations are too short or have no codon, some substitutions have two codons.
+    Annotations outside of genes are short, some others have no codon, and some substitutions
+    have two codons.
     """
     size = F.col("p_size")
     number = size.cast("string")
@@ -181,8 +182,9 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("p.Lys"), number, F.lit("Asn")))
     )
     full = F.concat(effect, F.lit("|"), change, F.lit("|100/4000"))
+    coding = F.col("p_type").isin("ECONOMY", "PROMO", "SMALL")
     texts = F.array(
-        F.when(size % 11 == 0, "A|short|annotation").otherwise(full),
+        F.when(coding, full).otherwise("C|intergenic_region|MODIFIER"),
         F.when(
             F.col("p_partkey") % 29 == 1,
             F.concat(effect, F.lit("|p.Asp7"), number, F.lit("Gly")),
@@ -192,10 +194,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
         mutations(spark, sf_dir)
         .select("POS", "REF", "ALT")
         .distinct()
-        .join(
-            table(spark, sf_dir, "part").where(F.col("p_type").isin("ECONOMY", "PROMO", "SMALL")),
-            F.col("POS") == F.col("p_partkey"),
-        )
+        .join(table(spark, sf_dir, "part"), F.col("POS") == F.col("p_partkey"))
         .select(
             F.col("REF").alias("ref"),
             F.col("POS").cast("string").alias("pos"),

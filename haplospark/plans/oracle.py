@@ -33,33 +33,33 @@ _CTES = {
         FROM all_variants""",
     "parts": """
         SELECT p_partkey AS k, CAST(p_size AS BIGINT) AS s, p_partkey * 400 + 1 AS l,
+               CASE p_partkey % 23 WHEN 4 THEN 'OTHER_' ELSE 'QIA_' END || p_partkey AS a,
                CASE WHEN p_partkey % 10 = 3 THEN NULL WHEN p_partkey % 3 = 0 THEN 'S'
                     WHEN p_partkey % 3 = 1 THEN 'N' ELSE 'ORF1a' END AS g
-        FROM part WHERE p_partkey % 23 <> 4""",
+        FROM part""",
     "genes": """
-        SELECT k, g FROM parts
-        UNION ALL SELECT k, 'ORF9b' FROM parts WHERE k % 11 = 3
-        UNION ALL SELECT k, 'M' FROM parts WHERE k % 29 = 6""",
+        SELECT k, a, g FROM parts
+        UNION ALL SELECT k, a, 'ORF9b' FROM parts WHERE k % 11 = 3
+        UNION ALL SELECT k, a, 'M' FROM parts WHERE k % 29 = 6""",
     "starts": """
         SELECT k, l AS st FROM parts
         UNION ALL SELECT k, l + 3 FROM parts WHERE k % 13 = 7""",
     "stops": "SELECT k, l + s AS sp FROM parts WHERE k % 17 <> 5",
     "spans": """
-        SELECT g AS "Gene", 'QIA_' || k AS "Amplicon",
+        SELECT g AS "Gene", a AS "Amplicon",
                st AS "Start Position", sp AS "Stop Position"
         FROM genes JOIN starts USING (k) LEFT JOIN stops USING (k)
         UNION ALL
-        SELECT g, 'QIA_' || k || '_LEFT', l, NULL FROM parts WHERE k % 19 = 2""",
+        SELECT g, a || '_LEFT', l, NULL FROM parts WHERE k % 19 = 2""",
     "annotated": """
         SELECT "REF" || '-' || "POS" || '-' || "ALT" AS "NUC_SUB", "POS", p_size AS s, p_type AS t,
                p_partkey AS k
-        FROM mutations JOIN part ON "POS" = p_partkey
-        WHERE p_type IN ('ECONOMY', 'PROMO', 'SMALL')""",
+        FROM mutations JOIN part ON "POS" = p_partkey""",
     "codon_rows": """
         SELECT "NUC_SUB", "POS",
                CASE WHEN t = 'PROMO' THEN CAST(s || '' || s AS BIGINT)
                     ELSE CAST(s AS BIGINT) END AS "CODON"
-        FROM annotated WHERE s % 11 <> 0 AND s % 9 <> 0
+        FROM annotated WHERE t IN ('ECONOMY', 'PROMO', 'SMALL') AND s % 9 <> 0
         UNION ALL
         SELECT "NUC_SUB", "POS", CAST('7' || s AS BIGINT) FROM annotated WHERE k % 29 = 1""",
     "codons": """SELECT DISTINCT "NUC_SUB", "CODON" FROM codon_rows""",
@@ -210,15 +210,12 @@ ORACLE: dict[str, str] = {
                   "REF" || '-' || "POS" || '-' || "ALT" AS "NUC_SUB" FROM all_variants"""
     ),
     "primer_first_replace": _with(
-        """SELECT 'QIA_' || k || '_LEFT' AS "RESPLICE_NAME", l AS "Start Position",
-                  'QIA_' || k AS "Amplicon" FROM parts
-           UNION ALL SELECT 'QIA_' || k || '_RIGHT', l + s - 20, 'QIA_' || k FROM parts
-                     WHERE k % 17 <> 5
-           UNION ALL SELECT 'QIA_' || k || '_LEFT', l, 'QIA_' || k FROM parts WHERE k % 11 = 3
-           UNION ALL SELECT 'QIA_' || k || '_LEFT', l + 3, 'QIA_' || k FROM parts WHERE k % 13 = 7
-           UNION ALL SELECT 'QIA_' || k || '_LEFT_LEFT', l, 'QIA_' || k || '_LEFT' FROM parts
-                     WHERE k % 19 = 2
-           UNION ALL SELECT 'QIA_' || k, l, 'QIA_' || k FROM parts WHERE k % 29 = 6"""
+        """SELECT a || '_LEFT' AS "RESPLICE_NAME", l AS "Start Position", a AS "Amplicon" FROM parts
+           UNION ALL SELECT a || '_RIGHT', l + s - 20, a FROM parts WHERE k % 17 <> 5
+           UNION ALL SELECT a || '_LEFT', l, a FROM parts WHERE k % 11 = 3
+           UNION ALL SELECT a || '_LEFT', l + 3, a FROM parts WHERE k % 13 = 7
+           UNION ALL SELECT a || '_LEFT_LEFT', l, a || '_LEFT' FROM parts WHERE k % 19 = 2
+           UNION ALL SELECT a, l, a FROM parts WHERE k % 29 = 6"""
     ),
     "amplicon_span_table": _with("SELECT * FROM spans"),
     "annotation_codon": _with("SELECT * FROM codons"),
