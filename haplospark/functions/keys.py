@@ -50,11 +50,23 @@ def _with_amplicon(df: DataFrame, text: str, separator: str) -> DataFrame:
 
     Both are removed wherever they occur, then one separator at each edge.
     """
-    nothing, edge = F.lit(""), re.escape(separator)
-    rest = F.replace(F.replace(text, S.SAMPLE, nothing), S.CONTIG, nothing)
-    amplicon = F.regexp_replace(rest, f"^{edge}|{edge}\\z", "")
-    return df.withColumn(S.AMPLICON, amplicon).withColumn(
-        S.CONTIG_ID, contig_id(F.col(S.AMPLICON), F.col(S.SAMPLE), F.col(S.CONTIG))
+    nothing, width = F.lit(""), len(separator)
+    rest, tail = F.col("_rest"), F.col("_tail")
+    return (
+        df.withColumn("_rest", F.replace(F.replace(text, S.SAMPLE, nothing), S.CONTIG, nothing))
+        .withColumn(
+            "_tail",
+            F.when(rest.startswith(separator), F.substr(rest, F.lit(width + 1))).otherwise(rest),
+        )
+        .withColumn(
+            S.AMPLICON,
+            F.when(
+                tail.endswith(separator), F.substr(tail, F.lit(1), F.length(tail) - width)
+            ).otherwise(tail),
+        )
+        .withColumn(
+            S.CONTIG_ID, contig_id(F.col(S.AMPLICON), F.col(S.SAMPLE), F.col(S.CONTIG))
+        )
     )
 
 
@@ -104,16 +116,18 @@ def without_file_key(
     return parts.where(~_name_has_key()).select(*files.columns)
 
 
-def _with_label(deflines: DataFrame) -> DataFrame:
+def _with_label_tokens(deflines: DataFrame, marker: str) -> DataFrame:
     label = F.substring_index(F.replace("line", F.lit(">"), F.lit("")), " ", 1)
-    return deflines.withColumn("_label", label)
+    return (
+        deflines.withColumn("_label", label)
+        .withColumn("_tokens", F.split("_label", "_"))
+        .withColumn("_marked", F.filter("_tokens", lambda t: F.contains(t, F.lit(marker))))
+    )
 
 
-def _label_has_key(marker: str) -> Column:
+def _label_has_key() -> Column:
     """Three tokens or more, exactly one of them with the marker."""
-    plain = f"(?![^_]*{re.escape(marker)})[^_]*"
-    marked = f"[^_]*{re.escape(marker)}[^_]*"
-    return F.col("_label").rlike(f"^(?=[^_]*_[^_]*_)(?:{plain}_)*{marked}(?:_{plain})*\\z")
+    return (F.size("_tokens") > 2) & (F.size("_marked") == 1)
 
 
 def with_defline_key(deflines: DataFrame, marker: str = "haplotype") -> DataFrame:
@@ -122,16 +136,15 @@ def with_defline_key(deflines: DataFrame, marker: str = "haplotype") -> DataFram
     Lines without a key are left out; see ``without_defline_key``.
     """
     parts = (
-        _with_label(deflines)
-        .where(_label_has_key(marker))
-        .withColumn(S.SAMPLE, F.substring_index("_label", "_", 1))
-        .withColumn(
-            S.CONTIG, F.regexp_extract("_label", f"[^_]*{re.escape(marker)}[^_]*", 0)
-        )
+        _with_label_tokens(deflines, marker)
+        .where(_label_has_key())
+        .withColumn(S.SAMPLE, F.get("_tokens", 0))
+        .withColumn(S.CONTIG, F.get("_marked", 0))
     )
     return _with_amplicon(parts, "_label", "_").select(*deflines.columns, *S.KEY_FIELDS)
 
 
 def without_defline_key(deflines: DataFrame, marker: str = "haplotype") -> DataFrame:
     """The lines that ``with_defline_key`` leaves out."""
-    return _with_label(deflines).where(~_label_has_key(marker)).select(*deflines.columns)
+    parts = _with_label_tokens(deflines, marker)
+    return parts.where(~_label_has_key()).select(*deflines.columns)

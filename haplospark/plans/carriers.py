@@ -252,9 +252,7 @@ def deflines(spark: SparkSession, sf_dir: str) -> DataFrame:
             condition,
             F.struct(
                 F.concat(F.lit("file:/run/"), path.cast("string")).alias("path"),
-                F.struct(F.lit(0).cast("bigint").alias("block"), row.alias("row")).alias(
-                    "position"
-                ),
+                row.alias("position"),
                 text.alias("line"),
             ),
         )
@@ -277,7 +275,7 @@ def fasta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     An order has four headers at most.
     """
-    order = F.col("position.row") % 1_000_000_000
+    order = F.col("position") % 1_000_000_000
     entry = F.concat("line", F.lit("\nACGT\n"))
     return (
         deflines(spark, sf_dir)

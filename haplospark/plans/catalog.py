@@ -144,7 +144,7 @@ def path_tokens(spark, sf_dir):
 @query
 def defline_key(spark, sf_dir):
     return with_defline_key(carriers.deflines(spark, sf_dir)).select(
-        "path", F.col("position.row").alias("row"), *S.KEY_FIELDS
+        "path", F.col("position").alias("row"), *S.KEY_FIELDS
     )
 
 
@@ -152,7 +152,7 @@ def defline_key(spark, sf_dir):
 def defline_depth(spark, sf_dir):
     return carriers.deflines(spark, sf_dir).select(
         "path",
-        F.col("position.row").alias("row"),
+        F.col("position").alias("row"),
         depth_ops.defline_depth(F.col("line")).alias(S.DEPTH),
     )
 
@@ -165,7 +165,7 @@ def defline_last_wins(spark, sf_dir):
 @query
 def defline_rejects(spark, sf_dir):
     return depth_ops.rejected_deflines(carriers.deflines(spark, sf_dir)).select(
-        "path", F.col("position.row").alias("row"), "line"
+        "path", F.col("position").alias("row"), "line"
     )
 
 

@@ -55,12 +55,18 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(add, [F.coalesce(w, F.lit(0)) + 16 for w in widths]).cast("bigint")
 
 
-def settle(df: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """A lookup table written once, and marked for broadcast if it is small enough.
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a written table for broadcast if its values stay within ``max_bytes``.
 
-    Its size is added up while it is written. Above ``max_bytes`` it comes back unmarked and
-    joins with it shuffle; adaptive execution then splits skewed keys.
+    Above that it comes back unmarked and joins with it shuffle; adaptive execution then
+    splits skewed keys.
     """
+    used = df.agg(F.sum(_row_bytes(df)).alias("bytes")).first()["bytes"] or 0
+    return F.broadcast(df) if used <= max_bytes else df
+
+
+def settle(df: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A lookup table written once, its size added up on the way, then as above."""
     size = Observation()
     measured = df.observe(size, F.sum(_row_bytes(df)).alias("bytes"))
     written = materialize(measured, label)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import haplospark as hs
 from haplospark import schemas as S
 from haplospark.operators.summary import BAND
-from haplospark.scratch import materialize, scratch_folder, settle
+from haplospark.scratch import broadcast_if_bounded, materialize, scratch_folder, settle
 from haplospark.sources.stage import with_signal
 
 VARIANTS = (
@@ -297,6 +297,9 @@ def test_broadcast_only_within_the_bound(spark):
         none = left.join(settle(right.limit(0), "r", max_bytes=0), "k", "left")
         assert "BroadcastHashJoin" in plan_of(small) and "BroadcastHashJoin" in plan_of(none)
         assert "BroadcastHashJoin" not in plan_of(big) and "SortMergeJoin" in plan_of(big)
+        written = materialize(right, "r")
+        assert "BroadcastHash" in plan_of(left.join(broadcast_if_bounded(written, 830), "k"))
+        assert "BroadcastHash" not in plan_of(left.join(broadcast_if_bounded(written, 829), "k"))
         assert small.count() == big.count() == none.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
