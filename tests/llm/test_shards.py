@@ -1,0 +1,74 @@
+"""Differencing and sharding against plain checks."""
+
+import random
+import zlib
+from collections import defaultdict
+
+from haplospark.llm import shards
+
+SCHEMA = "doc_id bigint, text string, shard int, node string, size string"
+
+
+def documents():
+    rows = [(i, "x" * random.Random(i).randint(0, 3000), 9, "n", "s") for i in range(600)]
+    rows += [(1000 + i, "the same text", 9, "n", "s") for i in range(300)]
+    rows += [(2000, None, 1, None, None), (2001, "", 1, None, None), (None, "no id", 1, None, None)]
+    rows += [(3000, "ü" * 40000, 1, None, None)] + [(3001, "twice", 1, None, None)] * 2
+    return rows
+
+
+def test_differencing_follows_the_textbook():
+    sums, places = shards.difference([[8, 0], [7, 0], [6, 0], [5, 0], [4, 0]])
+    assert sorted(sums) == [14, 16]
+    held = [0, 0]
+    for size, place in zip([8, 7, 6, 5, 4], places, strict=True):
+        held[place[0]] += size
+    assert held == sums
+
+
+def test_differencing_places_every_subset():
+    draw = random.Random(3)
+    items = [[draw.randint(0, 10**6) for _ in range(8)] for _ in range(500)]
+    sums, places = shards.difference(items)
+    held = [0] * 8
+    for item, place in zip(items, places, strict=True):
+        assert sorted(place) == list(range(8))
+        for k, at in enumerate(place):
+            held[at] += item[k]
+    assert held == sums and max(sums) - min(sums) < 1000
+
+
+def test_documents(spark):
+    rows = documents()
+    found = shards.shard_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    by_id = {r["doc_id"]: r for r in found}
+    held, slots, shard_of = defaultdict(int), defaultdict(list), defaultdict(set)
+    for doc_id, text, *_ in rows:
+        raw = (text or "").encode()
+        r = by_id[doc_id]
+        assert (r["size"], r["text_crc32"], r["law"]) == (len(raw) + 1, zlib.crc32(raw), "bytes")
+        assert r["grown_shard"] is None
+        shard_of[text or ""].add(r["shard"])
+    for r in found:
+        held[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(s) == 1 for s in shard_of.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(held) == set(range(8)) and max(held.values()) - min(held.values()) < 60_000
+
+
+def test_levels_give_balance_too(spark):
+    draw = random.Random(5)
+    sizes = {f"g{k}": draw.randint(1, 10_000) for k in range(2000)}
+    groups = spark.createDataFrame(list(sizes.items()), "node string, bytes bigint").repartition(4)
+    found = shards.assign_groups(groups, 8, block=16).collect()
+    held = defaultdict(int)
+    for r in found:
+        held[r["shard"]] += sizes[r["node"]]
+    assert len(found) == 2000 and len({r["node"] for r in found}) == 2000
+    assert max(held.values()) - min(held.values()) < 10_000
+
+
+def test_empty_table(spark):
+    assert shards.shard_documents(spark.createDataFrame([], SCHEMA)).count() == 0

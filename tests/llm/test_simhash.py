@@ -1,0 +1,119 @@
+"""Fingerprints, links and components against brute force."""
+
+import re
+
+import numpy as np
+import xxhash
+
+from haplospark.llm import simhash
+
+SCHEMA = "doc_id bigint, text string, _fp string, id string, hash int"
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    found = [" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+    bits = [0] * 64
+    for s in found:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for k in range(64):
+            bits[k] += h >> k & 1
+    return sum(1 << k for k in range(64) if 2 * bits[k] > len(found))
+
+
+def plain_components(marked):
+    ids = [(i is None, i or 0) for i, _ in marked]
+    parent = list(range(len(marked)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a in range(len(marked)):
+        for b in range(a):
+            if (marked[a][1] ^ marked[b][1]).bit_count() <= 2:
+                parent[root(a)] = root(b)
+    least = {}
+    for k in range(len(marked)):
+        least[root(k)] = min(least.get(root(k), ids[k]), ids[k])
+    return [None if least[root(k)][0] else least[root(k)][1] for k in range(len(marked))]
+
+
+def test_query_on_whole_small_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], plain_fingerprint(r["text"])) for r in docs.collect()]
+    expected = {
+        i: (f"{fp:016x}", c) for (i, fp), c in zip(rows, plain_components(rows), strict=True)
+    }
+    found = simhash.simhash_components(docs).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == expected and len(found) == len(rows)
+    assert len({c for _, c in expected.values()}) < len(rows)
+
+
+def test_odd_rows(spark):
+    texts = [None, "", " \t ", "One", "two Words", "ÀB c d e", "x " * 50000, "x " * 50000, "a b c d", "A B C D"]
+    rows = [(i if i != 3 else None, t, "x", "y", 1) for i, t in enumerate(texts)] + [(8, "a b c d", "x", "y", 1)]
+    found = simhash.simhash_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    marked = [(r[0], plain_fingerprint(r[1])) for r in rows]
+    expected = sorted(
+        ((i, f"{fp:016x}", c) for (i, fp), c in zip(marked, plain_components(marked), strict=True)), key=repr
+    )
+    assert sorted(map(tuple, found), key=repr) == expected
+
+
+def near_fingerprints():
+    draw = np.random.default_rng(1)
+    centres = draw.integers(0, 2**64, 40, dtype=np.uint64)
+    found = set(draw.integers(0, 2**64, 500, dtype=np.uint64).tolist())
+    for c in centres.tolist():
+        at = c
+        for _ in range(60):
+            at ^= 1 << int(draw.integers(64))
+            found.add(at)
+    return sorted(found)
+
+
+def test_no_link_is_lost_in_cut_cells(spark):
+    fps = near_fingerprints()
+    signed = [(f - (1 << 64) if f >> 63 else f, k) for k, f in enumerate(fps)]
+    marked = spark.createDataFrame(signed, "_fp bigint, doc_id bigint")
+    for piece in (2, 4096):
+        simhash.PIECE, before = piece, simhash.PIECE
+        links = simhash.fingerprint_links(marked.select("_fp"), piece)
+        simhash.PIECE = before
+        nodes = simhash.connected_components(links).collect()
+        root = {r["node"]: r["root"] for r in nodes}
+        groups = {}
+        for f, k in signed:
+            groups.setdefault(root.get(f, f), set()).add(k)
+        expected = {}
+        for k, c in enumerate(plain_components([(k, f) for k, f in enumerate(fps)])):
+            expected.setdefault(c, set()).add(k)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
+def test_pivots_discard_and_keep_as_all_pairs_do():
+    fps = np.array(near_fingerprints()[:800], np.uint64)
+    refs = np.array(simhash.pivots()).astype(np.uint64)
+    distances = np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int16)
+    pairs = {(int(a), int(b)) for a in range(len(fps)) for b in range(a) if (int(fps[a]) ^ int(fps[b])).bit_count() <= 2}
+    forest = list(simhash.links_within(fps, distances))
+    assert all((max(p), min(p)) in pairs for p in forest)
+    joined = plain_components([(k, int(f)) for k, f in enumerate(fps)])
+    assert len(forest) == len(fps) - len(set(joined))
+
+
+def test_one_of_each_stays(spark):
+    base = " ".join(f"w{k}" for k in range(400))
+    rows = [(5, base, "x", "a", 1), (2, base + " tail", "x", "a", 1), (7, "other words here now", "x", "a", 2)]
+    rows += [(2, base + " tail", "x", "a", 1), (None, base, "x", "a", 3), (9, None, "x", "a", 1), (8, "", "x", "a", 1)]
+    kept = simhash.keep_one_of_each(spark.createDataFrame(rows, SCHEMA))
+    assert kept.columns == ["doc_id", "text", "_fp", "id", "hash"]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 8]
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert simhash.simhash_components(empty).count() == 0
+    assert simhash.keep_one_of_each(empty).count() == 0
