@@ -1,0 +1,80 @@
+"""Main texts of pages against what their makers put in."""
+
+import html
+import re
+
+from haplospark.llm import pages
+
+PARAGRAPHS = [f"Paragraph {k} has words enough to be read as text, {'and more of them ' * k}indeed." for k in range(1, 8)]
+FURNITURE = """<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li><li>Menu</li></ul></nav>
+<div class="cookie-notice">We use cookies on this site, which is a long notice to read before going on.</div>
+<div id="ad-1">Buy this thing now, it is a very good thing to buy, and here is more about the thing.</div>"""
+AFTER = """<aside>Related links and other things that are long enough to be taken for an article's text.</aside>
+<form><label>Name and address and all that we would like to know about you</label><input></form>
+<section class="comments"><article class="comment">A reader says a lot about it, far too much of it.</article></section>
+<footer>&copy; 2020 a company with a long name and address in a street of a town</footer>"""
+
+
+def page(body, before=FURNITURE, after=AFTER):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body class='has-sidebar'>{before}{body}{after}</body></html>"
+
+
+def test_given_pages(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = {r["page_id"]: r for r in pages.extract_pages(rows).collect()}
+    for r in rows.collect():
+        inside = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        blocks = (html.unescape(re.sub("<[^>]+>", " ", b)) for b in re.split(r"</?(?:p|h1)>", inside))
+        expected = "\n".join(x for x in (" ".join(b.split()) for b in blocks) if x)
+        assert tuple(found[r["page_id"]]) == (r["page_id"], r["url"], expected, len(expected))
+    assert len(found) == rows.count()
+
+
+def test_marked_article():
+    body = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    inner = "<div class='ad'>Buy now</div>"
+    for tag in ("article", "main"):
+        text = pages.main_text(page(f"<{tag}><h1>Head</h1>{body}{inner}<p>End.</p></{tag}>"))
+        assert text == "\n".join(["Head", *PARAGRAPHS, "End."])
+
+
+def test_unmarked_article():
+    body = "<div class='content'>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + "</div>"
+    assert pages.main_text(page(body)) == "\n".join(PARAGRAPHS)
+
+
+def test_comments_inside_and_unclosed_elements():
+    inside = "<article><p>One.<section class='comments'><article>Reader.</article></section><p>Two.</article>"
+    assert pages.main_text(page(inside)) == "One.\nTwo."
+    assert pages.main_text(page("<form><p>Sign up<article><p>One<br>and a half.<b>!<p>Two", after="")) == "One and a half.!\nTwo"
+
+
+def test_markup_in_scripts_comments_and_attributes():
+    body = (
+        "<script>if (a<b) document.write('</p><p>no');</script><!-- <p>no</p> --><style>x{}</style>"
+        "<p title='a > b'>Yes &amp;lt; &eacute;&#8364;&nbsp;x\n\t y</p><template><p>no</p></template>"
+    )
+    assert pages.main_text(f"<article>{body}</article>") == "Yes &lt; é€ x y"
+
+
+def test_line_blocks():
+    lines = [("nav", 3), ("", 0), ("", 0), ("", 0), ("long" * 30, 120), ("x", 1), ("y" * 30, 30), ("", 0), ("", 0), ("", 0), ("foot", 4)]
+    assert pages.text_between(lines, 80) == ["long" * 30, "x", "y" * 30]
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, "u", None, "t"), (2, None, "", "t"), (None, "u", "<p></p>", "t"), (3, "u", "no markup at all " * 9, "t"),
+        (4, "u", "<", "t"), (5, "u", "<article>" + "<div>" * 5000 + "deep" + "</div>" * 5000, "t"),
+        (6, "u", "<article><p>" + "word " * 200000 + "</p></article>", "t"), (6, "u", "<article>a < b</article>", "t"),
+        (7, "u", "<a href=\"" * 3000, "t"), (8, "u", "<nav>only a menu</nav>", "t"),
+    ]
+    found = pages.extract_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()
+    texts = sorted((r["page_id"] or 0, r["n_chars"], r["text"][:20]) for r in found)
+    assert texts[:4] == [(0, 0, ""), (1, 0, ""), (2, 0, ""), (3, 152, "no markup at all no ")]
+    assert (5, 4, "deep") in texts and (6, 999999, "word word word word ") in texts and (6, 5, "a < b") in texts
+    assert (8, 0, "") in texts and len(found) == len(rows)
+
+
+def test_empty_table(spark):
+    assert pages.extract_pages(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0

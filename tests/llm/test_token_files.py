@@ -1,0 +1,87 @@
+"""Token files against the tokenizers library on whole texts."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from haplospark.llm import token_files
+from haplospark.llm.common import new_shared_folder
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SCHEMA = "doc_id bigint, text string, _text int, _hash string, ids string"
+ODD = [
+    None, "", " ", "\n\n", "Two  blanks", "a\tb c d", "It's DON'T 'll", "ΣΊΣΥΦΟΣ ΟΔΟΣ", "x" * 3000, "日本語",
+    "é ́x", "\x1c\x85", "<|endoftext|> <|startoftext|>", "12345 ½", "ﬁne İstanbul", "a\r\nb",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def expected(rows, library):
+    start, out = 0, []
+    for doc_id, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_words_as_whole_texts(library):
+    words = token_files.Words(PATH)
+    for text in ODD:
+        ids = np.frombuffer(words.encode(text or ""), words.dtype).tolist()
+        assert ids == library.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_query_on_whole_small_table(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted(map(tuple, docs.select("doc_id", "text").collect()))
+    found = sorted(map(tuple, token_files.token_file_digests(docs).collect()))
+    assert found == expected(rows, library)
+
+
+def test_odd_rows_and_files(spark, library):
+    rows = [(k, t, 1, "h", "i") for k, t in enumerate(ODD)] + [(None, "no id", 1, "h", "i")] + [(3, "twice", 1, "h", "i")] * 2
+    folder = new_shared_folder(spark, "tokens")
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    manifest = token_files.write_token_files(docs, folder)
+    found = sorted(token_files.read_token_files(spark, folder).collect(), key=lambda r: r["start"])
+    ids = [r["doc_id"] for r in found]
+    assert ids == [None, *sorted(i for i in ids if i is not None)] and len(ids) == len(rows)
+    texts = {}
+    for r in rows:
+        texts.setdefault(r[0], []).append(r[1] or "")
+    start = 0
+    for r in found:
+        assert r["start"] == start
+        start += r["n_tokens"]
+        possible = [e[2:] for t in texts[r["doc_id"]] for e in expected([(0, t)], library)]
+        assert (r["n_tokens"], r["ids_crc32"]) in possible
+    part = next(p for p in manifest["parts"] if p["docs"])
+    held = token_files.TokenPart(folder, part, manifest["type"])
+    assert held.dtype == np.dtype("<u2") and isinstance(held.ids, np.memmap)
+    assert held.offsets[0] == 0 and held.offsets[-1] == len(held.ids) == part["ids"]
+    assert [held.document(k)[-1] for k in range(part["docs"])] == [2] * part["docs"]
+
+
+def test_cache_that_overflows_changes_nothing(monkeypatch, library):
+    monkeypatch.setattr(token_files, "REMEMBERED", 2)
+    words = token_files.Words(PATH)
+    text = "one two three four one two three"
+    assert np.frombuffer(words.encode(text), words.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_wide_ids():
+    assert token_files.id_type(65536) == "<u2" and token_files.id_type(65537) == "<u4"
+
+
+def test_empty_table(spark):
+    assert token_files.token_file_digests(spark.createDataFrame([], SCHEMA)).count() == 0
