@@ -96,27 +96,23 @@ def test_defline_key(spark):
     assert rejected == {line for line, key in DEFLINES if key is None}
 
 
-def plain_key(line):
-    """The rule for header lines, written as a plain function."""
-    label = line.replace(">", "").split(" ")[0]
-    items = label.split("_")
-    marked = [i for i in items if "haplotype" in i]
-    if len(marked) != 1 or len(items) < 3:
-        return None
-    rest = label.replace(items[0], "").replace(marked[0], "")
-    rest = rest.removeprefix("_").removesuffix("_")
-    return f"{rest}-{items[0]}-{marked[0]}"
-
-
-def test_defline_key_against_plain_function(spark):
-    parts = ["S1", "", "1", "QIA", "haplotype-1", "haplotype", "A.b"]
-    lines = [
-        f">{a}_{b}_{c}_{d} size=1" for a in parts[:4] for b in parts for c in parts for d in parts
-    ]
-    lines = [line for line in lines if not line.startswith(">_")]
-    df = spark.createDataFrame([(line,) for line in lines], "line string")
-    found = {r["line"]: r[S.CONTIG_ID] for r in with_defline_key(df).collect()}
-    assert found == {line: plain_key(line) for line in lines if plain_key(line) is not None}
+SAMPLES = ["S1", "007", "A+b"]
+AMPLICONS = ["QIA_42", "x", "p.q_r_s", "_lead", "trail_"]
+CONTIGS = ["haplotype-1", "xhaplotype", "haplotype=3"]
+
+
+def test_defline_keys_known_by_construction(spark):
+    """Headers put together from known parts, wherever the contig stands among them."""
+    expected = {}
+    for sample in SAMPLES:
+        for amplicon in AMPLICONS:
+            for contig in CONTIGS:
+                key = f"{amplicon}-{sample}-{contig}"
+                expected[f">{sample}_{amplicon}_{contig} size=1 b_c"] = key
+        expected[f">{sample}_left_haplotype-2_right"] = f"left__right-{sample}-haplotype-2"
+    df = spark.createDataFrame([(line,) for line in expected], "line string")
+    assert {r["line"]: r[S.CONTIG_ID] for r in with_defline_key(df).collect()} == expected
+    assert without_defline_key(df).count() == 0
 
 
 @pytest.mark.parametrize(
