@@ -12,7 +12,7 @@ from haplospark.plans.report import haplotype_report, report_from_long, run_repo
 from haplospark.sources.annotations import read_annotations
 from haplospark.sources.fasta import read_deflines, undecodable_files
 from haplospark.sources.files import FileSet, duplicate_paths, find_files, find_sources
-from haplospark.sources.primers import read_primer_bed
+from haplospark.sources.primers import read_primer_bed, rejected_primers
 from haplospark.sources.stage import read_stage, stage, with_signal, write_report, write_stage
 from haplospark.sources.variants import read_variants, rejected_variant_files
 
@@ -38,6 +38,7 @@ __all__ = [
     "read_stage",
     "read_variants",
     "rejected_deflines",
+    "rejected_primers",
     "rejected_variant_files",
     "report_from_long",
     "run_report",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache, reduce
 from operator import add
 
@@ -17,24 +19,39 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @cache
-def _local_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="haplospark-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+def _own_folder(warehouse: str) -> str:
+    """A folder of this process below the warehouse; removed at its end if it is local."""
+    folder = f"{warehouse.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    if "://" not in folder:
+        atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
     return folder
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``; unset, one in the warehouse.
 
-    Only a local session may do without the setting: on a cluster a folder of one machine
-    would be out of reach for the others.
+    Both are out of a single machine's own folders: all executors read what one wrote.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder or _own_folder(spark.conf.get("spark.sql.warehouse.dir"))
+
+
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def cleared_scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes at the end what ``materialize`` wrote within, for jobs with results of their own."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            place = files.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -46,6 +63,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_folder(spark)}/haplospark/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,9 +1,12 @@
+import gzip
+
 import pytest
 
 import haplospark as hs
 from haplospark import schemas as S
 from haplospark.sources import files as fs
-from haplospark.sources.stage import is_complete
+from haplospark.sources.stage import is_complete, staged_arguments
+from haplospark.sources.tables import header_problems
 
 IVAR = "*_ivar.tsv"
 HEADER = "REGION\tPOS\tREF\tALT\tREF_AA\tALT_AA\n"
@@ -57,6 +60,79 @@ def test_variants(spark, rows, tree, whole_file_bytes):
     assert variant_rows(rows, df) == sorted(EXPECTED, key=repr)
 
 
+ODD_FILES = {
+    "S_A_mark_ivar.tsv": "\ufeff" + HEADER + "r\t1\tA\tC\tK\tN\n",
+    "S_A_blank_ivar.tsv": "\n\n\r\n",
+    "S_A_markonly_ivar.tsv": "\ufeff",
+    "S_A_lone_ivar.tsv": HEADER.replace("\n", "\r") + "r\t2\tA\tC\tK\tN\rr\t3\tA\tC\tK\tN",
+    "S_A_quoted_ivar.tsv": HEADER.replace("REGION", '"REGION"') + '"r"\t4\tA\t"C ""x"""\tK\tN\n',
+    "S_A_spaced_ivar.tsv": "\n\n" + HEADER + "\n\nr\t5\tA\tC\tK\tN\n\n",
+    "S_A_header_ivar.tsv": HEADER.strip(),
+    "S_A_packed_ivar.tsv.gz": HEADER + "r\t6\tA\tC\tK\tN\n",
+    "S_A_packedheader_ivar.tsv.gz": HEADER,
+}
+
+
+@pytest.mark.parametrize("whole_file_bytes", [fs.WHOLE_FILE_BYTES, 60, 0])
+def test_odd_files_read_alike_at_every_size(spark, rows, tmp_path, whole_file_bytes):
+    for name, text in ODD_FILES.items():
+        data = text.encode()
+        write(tmp_path / name, gzip.compress(data) if name.endswith(".gz") else data)
+    files = hs.find_files(spark, str(tmp_path), "*_ivar.tsv*", whole_file_bytes)
+    found = hs.read_variants(files, suffix="_ivar.tsv")
+    assert rows(found, S.CONTIG, "REGION", "POS", "ALT") == sorted(
+        [
+            ("mark", "r", 1, "C"),
+            ("lone", "r", 2, "C"),
+            ("lone", "r", 3, "C"),
+            ("quoted", "r", 4, 'C "x"'),
+            ("spaced", "r", 5, "C"),
+            ("header", None, None, None),
+            ("packed.gz", "r", 6, "C"),
+            ("packedheader.gz", None, None, None),
+        ],
+        key=repr,
+    )
+    problems = {r["path"].rsplit("/", 1)[1]: r["reason"] for r in header_problems(files, S.VARIANT_FIELDS, []).collect()}
+    assert problems == {"S_A_blank_ivar.tsv": "no header", "S_A_markonly_ivar.tsv": "no header"}
+
+
+@pytest.mark.parametrize("whole_file_bytes", [fs.WHOLE_FILE_BYTES, 0])
+def test_odd_annotations_and_headers_read_alike(spark, rows, tmp_path, whole_file_bytes):
+    ann = "A|m|M|S|g|t|x|p|1/1|c.1A>C|p.A10B|rest"
+    body = f"ref\tpos\talt\tinfo_ANN\nA\t{{}}\tC\t{ann}\n"
+    write(tmp_path / "a.tvcf.tsv", "\ufeff" + body.format(1))
+    write(tmp_path / "b.tvcf.tsv.gz", gzip.compress(body.format(2).encode()))
+    write(tmp_path / "c.tvcf.tsv", "\n")
+    found = hs.read_annotations(hs.find_files(spark, str(tmp_path), "*.tvcf.tsv*", whole_file_bytes))
+    assert rows(hs.mutation_codons(found)) == [("A-1-C", 10), ("A-2-C", 10)]
+    write(tmp_path / "a.fasta", "\ufeff>S1_Q_1_haplotype-1 size=1\rACGT\r>S1_Q_1_haplotype-2 size=2")
+    write(tmp_path / "b.fasta.gz", gzip.compress(b">S1_Q_1_haplotype-3 size=3\nA\n"))
+    write(tmp_path / "c.fasta.gz", gzip.compress(b">S1_Q_1_haplotype-4 size=3\n\xff\n"))
+    files = hs.find_files(spark, str(tmp_path), "*.fasta*", whole_file_bytes)
+    assert [d for _, d in rows(hs.contig_depths(hs.read_deflines(files)))] == [1, 2, 3]
+    assert hs.undecodable_files(files).count() == 1
+
+
+def test_primers_that_do_not_parse(spark, rows, tmp_path):
+    write(tmp_path / "p.bed", "r\t1\t 9 \tn\tA_LEFT\t1\tS\nr\t1\t9l\tn\tA_RIGHT\t1\tS\nr\t1\t2\n")
+    path = str(tmp_path / "p.bed")
+    assert rows(hs.read_primer_bed(spark, path), S.START, S.STOP, "RESPLICE_NAME") == [(1, 9, "A_LEFT")]
+    assert rows(hs.rejected_primers(spark, path)) == [("r\t1\t2\t\t\t\t",), ("r\t1\t9l\tn\tA_RIGHT\t1\tS",)]
+
+
+def test_large_files_are_scanned_twice_at_most(spark, tree, tmp_path):
+    def text_scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan text")
+
+    # heads are written while the plan is built, by one scan; the plan itself has another
+    variants = hs.read_variants(hs.find_files(spark, tree, IVAR, 0))
+    assert text_scans(variants) == 1
+    write(tmp_path / "a_haplotypes.fasta", ">S1_Q_1_haplotype-1 size=1\nA\n")
+    deflines = hs.read_deflines(hs.find_files(spark, str(tmp_path), "*.fasta", 0))
+    assert text_scans(deflines) == 0 and deflines.count() == 1
+
+
 def test_variants_over_many_splits(spark, rows, tmp_path):
     body = "".join(f"r\t{i}\tA\tC\tK\tN\n" for i in range(5000))
     write(tmp_path / "S1_A_haplotype-1_ivar.tsv", HEADER + body)
@@ -212,5 +288,7 @@ def test_stage_resume(spark, tmp_path):
     assert hs.stage(spark, path, build(5), resume=False).count() == 5
     (tmp_path / "stage" / "_SUCCESS").unlink()
     assert hs.stage(spark, path, build(2), resume=True).count() == 2
-    assert built == [3, 5, 2]
+    assert hs.stage(spark, path, build(7), resume=True, arguments="other").count() == 7
+    assert staged_arguments(spark, path) == "other"
+    assert built == [3, 5, 2, 7]
     assert any(p.name.endswith(".zstd.parquet") for p in (tmp_path / "stage").iterdir())
