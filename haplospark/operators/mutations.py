@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
 from haplospark.functions.labels import amino_acid_label, mutation_flags, nucleotide_label
 
 
+#: Width, in positions, of the pieces in which a contig's mutations are kept together.
+BAND_WIDTH = 16384
+
+
+def band_of(position: Column) -> Column:
+    """The piece of a contig that a position lies in."""
+    return F.floor(position / BAND_WIDTH)
+
+
 def label_variants(variants: DataFrame) -> DataFrame:
-    """Distinct variant rows with their nucleotide label."""
+    """Distinct variant rows with their nucleotide label and the band of their position.
+
+    Rows are dealt by contig and band, which splits a hot contig and which the distinct, the
+    joins with broadcast lookups and the summary's first step all go on with: variants cross
+    the network once.
+    """
     return (
-        variants.select(*S.VARIANT_COLUMNS)
+        variants.select(*S.VARIANT_COLUMNS, band_of(F.col("POS")).alias(S.BAND))
+        .repartition(S.CONTIG_ID, S.BAND)
         .distinct()
         .withColumn("NUC_SUB", nucleotide_label(F.col("REF"), F.col("POS"), F.col("ALT")))
     )
@@ -24,16 +39,23 @@ def attach_spans(variants: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def attach_codons(variants: DataFrame, codons: DataFrame) -> DataFrame:
-    """Add the codon number, null where none is known."""
-    return variants.join(codons, "NUC_SUB", "left")
+    """Add the codon number, null where none is known.
+
+    Rows without a label, of contigs without variants, match nothing. They get a key of
+    their own, so that a join that shuffles does not send them all to one task.
+    """
+    unlabelled = F.concat(F.lit("\0"), F.col(S.CONTIG_ID))
+    keyed = variants.withColumn("_key", F.coalesce("NUC_SUB", unlabelled))
+    known = codons.select(F.col("NUC_SUB").alias("_known"), "CODON")
+    return keyed.join(known, F.col("_key") == F.col("_known"), "left").drop("_key", "_known")
 
 
 def classify_mutations(variants: DataFrame, spans: DataFrame, codons: DataFrame) -> DataFrame:
     """Label every mutation of every contig and class it by its residues.
 
     Rows stay distinct through both joins because ``spans`` and ``codons`` are distinct, so
-    no second distinct is needed. ``POS`` is kept behind the report's own columns: lists of
-    mutations are ordered by it.
+    no second distinct is needed. ``POS`` and the band are kept behind the report's own
+    columns: lists of mutations are ordered by the one and put together from the other.
     """
     joined = attach_codons(attach_spans(label_variants(variants), spans), codons)
     label = amino_acid_label(
@@ -41,4 +63,4 @@ def classify_mutations(variants: DataFrame, spans: DataFrame, codons: DataFrame)
     )
     return joined.withColumns(
         {"AA_SUB": label, **mutation_flags(F.col("REF_AA"), F.col("ALT_AA"))}
-    ).select(*S.LONG_COLUMNS, "POS")
+    ).select(*S.LONG_COLUMNS, "POS", S.BAND)

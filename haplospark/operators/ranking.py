@@ -60,7 +60,10 @@ def number_in_groups(
 def name_haplotypes(contigs: DataFrame) -> DataFrame:
     """Name the haplotypes of each amplicon and sample by descending read depth.
 
-    Equal depths are ordered by contig key, gene and span, so names are reproducible.
+    Equal depths are ordered by contig key, gene and span, so names are reproducible. Only
+    these keys are numbered, and written on the way; the numbers are joined back by them,
+    starting with the contig key by which a summary is partitioned. ``contigs`` is read
+    twice, so it should be a table, or cheap without its texts.
     """
     order = [
         F.col(S.DEPTH).desc(),
@@ -69,8 +72,13 @@ def name_haplotypes(contigs: DataFrame) -> DataFrame:
         F.col(S.START).asc_nulls_first(),
         F.col(S.STOP).asc_nulls_first(),
     ]
-    numbered = number_in_groups(contigs, [S.AMPLICON, S.SAMPLE], order, "_rank")
-    label = F.concat(
-        F.col(S.AMPLICON), F.lit(" Haplotype "), F.col("_rank").cast("string")
+    keys = [S.CONTIG_ID, S.AMPLICON, S.SAMPLE, S.DEPTH, S.GENE, S.START, S.STOP]
+    numbered = number_in_groups(
+        contigs.select(*keys), [S.AMPLICON, S.SAMPLE], order, "_rank"
+    )
+    left, right = contigs.alias("c"), numbered.alias("n")
+    same = reduce(and_, [F.col(f"c.`{k}`").eqNullSafe(F.col(f"n.`{k}`")) for k in keys])
+    label = F.concat(F.col(f"c.{S.AMPLICON}"), F.lit(" Haplotype "), F.col("_rank").cast("string"))
+    return left.join(right, same).select(
+        label.alias(S.HAPLOTYPE), *[F.col(f"c.`{c}`").alias(c) for c in contigs.columns]
     )
-    return numbered.select(label.alias(S.HAPLOTYPE), *contigs.columns)

@@ -21,6 +21,9 @@ LENGTH = "Amplicon Length"
 RATIO = "Crude dN/dS Ratio"
 SIGNAL = "Selection Signal"
 
+#: Number of the piece of a contig that a mutation lies in; not part of a report.
+BAND = "_band"
+
 NUC_LIST = "Nucleotide Substitutions"
 NUC_COUNT = "Nuc Mut Count"
 SYN_LIST = "Synonymous Mutations"

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import haplospark as hs
 from haplospark import schemas as S
-from haplospark.operators.summary import BAND
+from haplospark.operators.mutations import BAND_WIDTH as BAND
+from haplospark.operators.mutations import attach_codons, attach_spans, label_variants
 from haplospark.scratch import broadcast_if_bounded, materialize, scratch_folder, settle
 from haplospark.sources.stage import with_signal
 
@@ -75,7 +76,7 @@ def test_classes_and_labels(spark, rows):
     spans = spark.createDataFrame([("S", "A", 1, 81)], SPANS)
     codons = spark.createDataFrame([("A-1-C", 7), ("A-1-C", 9)], CODONS)
     long = hs.classify_mutations(variants, spans, codons)
-    assert long.columns == [*S.LONG_COLUMNS, "POS"]
+    assert long.columns == [*S.LONG_COLUMNS, "POS", S.BAND]
     flags = ["Noncoding", "Synonymous", "Nonsynonymous"]
     assert rows(long, "Contig", "NUC_SUB", "Gene", "AA_SUB", *flags) == sorted(
         [
@@ -286,6 +287,47 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+}
+
+
+def test_lookups_too_large_to_broadcast_are_joined_in_parts(spark, rows):
+    """A third of the rows on one amplicon, a third without a label: hot keys are split."""
+    rng = random.Random(11)
+    data = []
+    for i in range(12000):
+        amplicon = "hot" if i % 3 == 0 else f"a{rng.randrange(500)}"
+        if i % 3 == 1:
+            data.append(variant(None, None, None, None, None, contig=f"h{i}", amplicon=amplicon))
+        else:
+            data.append(variant(i, "A", "C", "K", "N", contig=f"h{i}", amplicon=amplicon))
+    variants = spark.createDataFrame(data, VARIANTS)
+    spans = spark.createDataFrame([("S", f"a{k}", k, k + 80) for k in range(500)] + [("N", "hot", 1, 81)], SPANS)
+    codons = spark.createDataFrame([(f"A-{i}-C", i) for i in range(0, 12000, 2)], CODONS)
+    expected = rows(hs.classify_mutations(variants, F.broadcast(spans), F.broadcast(codons)), *S.LONG_COLUMNS)
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    try:
+        labelled = label_variants(variants)
+        by_amplicon, by_label = attach_spans(labelled, spans), attach_codons(labelled, codons)
+        for df in (by_amplicon, by_label):
+            df.collect()
+            assert "SortMergeJoin" in plan_of(df)
+        assert "skew=true" in plan_of(by_amplicon)
+        keys = labelled.select(F.coalesce("NUC_SUB", F.concat(F.lit("\0"), S.CONTIG_ID)).alias("k"))
+        assert keys.groupBy("k").count().where("count > 1").count() == 0
+        assert rows(hs.classify_mutations(variants, spans, codons), *S.LONG_COLUMNS) == expected
+    finally:
+        for key in SKEW:
+            spark.conf.unset(key)
+
+
 def test_broadcast_only_within_the_bound(spark):
     left = spark.range(1000).withColumn("k", F.col("id") % 10)
     right = spark.range(10).select(F.col("id").alias("k"), F.lit("x" * 50).alias("t"))
