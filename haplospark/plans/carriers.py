@@ -1,7 +1,7 @@
 """The benchmark tables shaped like the inputs of a report.
 
-An order stands for a contig and its line items for the contig's variants; a part stands
-for an amplicon with its primers, and gives the annotations of the substitutions at its
+An order stands for a contig, its customer for the amplicon, and its line items for the
+contig's variants; a part stands for an amplicon with its primers, and gives the annotations of the substitutions at its
 position. Every view is a query over whole tables, so it grows with them.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
+from haplospark.sources.files import BYTE_ORDER_MARK
 
 
 #: Columns of the benchmark tables that the views use, declared to save a look at the files.
@@ -32,7 +33,7 @@ def _text(name: str):
 
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the parts of a contig key."""
-    amplicon = F.concat(F.lit("QIA_"), (F.col("o_custkey") % 200).cast("string"))
+    amplicon = F.concat(F.lit("QIA_"), _text("o_custkey"))
     sample = F.concat(F.lit("S"), (F.col("o_orderkey") % 12).cast("string"))
     contig = F.concat(F.lit("haplotype-"), _text("o_orderkey"))
     return table(spark, sf_dir, "orders").select(
@@ -81,10 +82,10 @@ def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variant_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows as whole variant tables, a text per contig and 64 positions.
+    """The same rows as whole variant tables, a text per contig and 65536 positions.
 
-    Odd contigs have their columns in another order and one column more. A text holds
-    distinct lines only, of which 64 positions allow no more than a few hundred.
+    Odd contigs have their columns in another order and one column more; every fifth text
+    starts with a byte-order mark, as files may.
     """
     cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in S.VARIANT_FIELDS}
     plain = list(S.VARIANT_FIELDS)
@@ -95,7 +96,7 @@ def variant_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.concat_ws("\t", *[cells[c] for c in plain]))
     bodies = (
         mutations(spark, sf_dir)
-        .select("l_orderkey", F.floor(F.col("POS") / 64).alias("block"), line.alias("line"))
+        .select("l_orderkey", F.floor(F.col("POS") / 65536).alias("block"), line.alias("line"))
         .distinct()
         .groupBy("l_orderkey", "block")
         .agg(F.concat_ws("\n", F.collect_list("line")).alias("body"))
@@ -109,7 +110,10 @@ def variant_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(bodies, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             F.concat_ws("/", folder, name).alias("path"),
-            F.concat_ws("\n", header, "body").alias("text"),
+            F.concat(
+                F.when(F.col("o_orderkey") % 5 == 2, BYTE_ORDER_MARK).otherwise(""),
+                F.concat_ws("\n", header, "body"),
+            ).alias("text"),
         )
     )
 
@@ -271,11 +275,11 @@ def deflines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fasta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The header lines as whole FASTA texts, those of one order and run in a file each.
+    """The header lines as whole FASTA texts, those of 4096 orders and one run in a file each.
 
     An order has four headers at most.
     """
-    order = F.col("position") % 1_000_000_000
+    order = F.floor(F.col("position") % 1_000_000_000 / 4096)
     entry = F.concat("line", F.lit("\nACGT\n"))
     return (
         deflines(spark, sf_dir)
@@ -286,3 +290,20 @@ def fasta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws("", F.col("e.entry")).alias("text"),
         )
     )
+
+
+def damaged_fasta_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a byte that is not UTF-8 at the end of the texts that start with S1."""
+    broken = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
+    text = F.when(F.col("text").startswith(">S1_"), broken).otherwise(F.col("text"))
+    return fasta_files(spark, sf_dir).withColumn("text", text)
+
+
+def variant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of variant tables; every eleventh order's name lacks the amplicon."""
+    whole = F.concat_ws("_", S.SAMPLE, S.AMPLICON, S.CONTIG)
+    short = F.concat_ws("_", S.SAMPLE, S.CONTIG)
+    name = F.when(F.col("o_orderkey") % 11 == 3, short).otherwise(whole)
+    return contigs(spark, sf_dir).select(
+        F.concat(F.lit("file:/run/"), name, F.lit("_ivar.tsv")).alias("path")
+    )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
-from haplospark.functions.keys import with_defline_key, with_file_key
+from haplospark.functions.keys import with_defline_key, with_file_key, without_file_key
 from haplospark.functions.labels import (
     amino_acid_label,
     mutation_flags,
@@ -24,10 +25,10 @@ from haplospark.operators.spans import amplicon_name, amplicon_spans
 from haplospark.operators.summary import contig_ids, mutation_lists, summarize_contigs
 from haplospark.plans import carriers
 from haplospark.plans.report import haplotype_report, with_depth
-from haplospark.scratch import materialize, settle
+from haplospark.scratch import scratch_folder, settle
 from haplospark.sources.annotations import annotations_of_files
-from haplospark.sources.fasta import deflines_of_files
-from haplospark.sources.stage import with_signal
+from haplospark.sources.fasta import deflines_of_files, undecodable_of_files
+from haplospark.sources.stage import stage, with_signal, write_stage
 from haplospark.sources.variants import variants_of_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,11 +115,28 @@ def contig_sentinel(spark, sf_dir):
     return rows.where(F.col("POS").isNull()).select(*S.KEY_FIELDS, "REGION", "REF", "ALT")
 
 
+@query
+def undecodable_texts(spark, sf_dir):
+    """FASTA texts that are not UTF-8, which are skipped."""
+    return undecodable_of_files(carriers.damaged_fasta_files(spark, sf_dir))
+
+
+@query
+def decodable_depths(spark, sf_dir):
+    """Depths from the texts that are UTF-8."""
+    return depth_ops.contig_depths(deflines_of_files(carriers.damaged_fasta_files(spark, sf_dir)))
+
+
+def _stage_path(spark):
+    return f"{scratch_folder(spark)}/haplospark/stage-{uuid.uuid4().hex}"
+
+
 @query
 def staged_variants(spark, sf_dir):
-    """Distinct variants through a zstd Parquet stage."""
-    rows = carriers.variants(spark, sf_dir).distinct()
-    return materialize(rows, "variants")
+    """Distinct variants staged as a report run does, and found again by a second one."""
+    path = _stage_path(spark)
+    stage(spark, path, lambda: carriers.variants(spark, sf_dir).distinct(), arguments=sf_dir)
+    return stage(spark, path, lambda: carriers.variants(spark, sf_dir), True, sf_dir)
 
 
 # --- keys and labels -----------------------------------------------------------------
@@ -141,6 +159,12 @@ def path_tokens(spark, sf_dir):
     return with_file_key(paths).select("o_orderkey", *S.KEY_FIELDS)
 
 
+@query
+def rejected_names(spark, sf_dir):
+    """Variant tables whose name holds no contig key."""
+    return without_file_key(carriers.variant_names(spark, sf_dir))
+
+
 @query
 def defline_key(spark, sf_dir):
     return with_defline_key(carriers.deflines(spark, sf_dir)).select(
@@ -256,8 +280,8 @@ def long_table(spark, sf_dir):
 
 @query
 def staged_long_table(spark, sf_dir):
-    """The long table written and read back, as a report run does."""
-    return materialize(_long(spark, sf_dir), "long").select(*S.LONG_COLUMNS)
+    """The long table as a report run writes it, read back."""
+    return write_stage(_long(spark, sf_dir).select(*S.LONG_COLUMNS), _stage_path(spark))
 
 
 # --- short table ---------------------------------------------------------------------

@@ -10,10 +10,10 @@ from __future__ import annotations
 _CTES = {
     "contigs": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-               'QIA_' || (o_custkey % 200) AS "Amplicon",
+               'QIA_' || o_custkey AS "Amplicon",
                'S' || (o_orderkey % 12) AS "Sample ID",
                'haplotype-' || o_orderkey AS "Contig",
-               'QIA_' || (o_custkey % 200) || '-S' || (o_orderkey % 12)
+               'QIA_' || o_custkey || '-S' || (o_orderkey % 12)
                    || '-haplotype-' || o_orderkey AS "Amplicon-Sample-Contig"
         FROM orders""",
     "mutations": """
@@ -141,6 +141,9 @@ _CTES = {
                NULL, 'S1', NULL,
                CASE WHEN o_orderstatus <> 'P' THEN CAST(floor(o_totalprice) AS BIGINT) END
         FROM contigs WHERE o_orderkey % 53 = 9""",
+    "texts": """
+        SELECT path, (row % 1000000000) // 4096 AS file, arg_min("Sample ID", row) AS sample
+        FROM headers GROUP BY ALL""",
 }
 
 _LONG = """"REGION", "Amplicon", "Sample ID", "Contig", "Amplicon-Sample-Contig", "NUC_SUB", "Gene",
@@ -179,6 +182,20 @@ ORACLE: dict[str, str] = {
                   CAST(NULL AS VARCHAR) AS "ALT"
            FROM contigs WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)"""
     ),
+    "undecodable_texts": _with(
+        """SELECT path || '/' || file || '_haplotypes.fasta' AS path FROM texts
+           WHERE sample = 'S1'"""
+    ),
+    "decodable_depths": _with(
+        """SELECT * EXCLUDE (p) FROM (SELECT DISTINCT h."Amplicon" || '-' || h."Sample ID" || '-' || h."Contig"
+                      AS "Amplicon-Sample-Contig",
+                  last_value(h.size) OVER (PARTITION BY h.path, h.o_orderkey ORDER BY h.row
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+                      AS "Depth of Coverage", h.path AS p
+           FROM headers h JOIN texts t
+                ON h.path = t.path AND (h.row % 1000000000) // 4096 = t.file
+           WHERE t.sample <> 'S1' AND h."Contig" IS NOT NULL)"""
+    ),
     "staged_variants": _with(_VARIANTS),
     "variants_projection": _with(_VARIANTS),
     "path_tokens": _with(
@@ -188,6 +205,10 @@ ORACLE: dict[str, str] = {
                       AS "Amplicon-Sample-Contig"
            FROM contigs"""
     ),
+    "rejected_names": _with(
+        """SELECT 'file:/run/' || "Sample ID" || '_' || "Contig" || '_ivar.tsv' AS path
+           FROM contigs WHERE o_orderkey % 11 = 3"""
+    ),
     "defline_key": _with(
         """SELECT path, row, "Amplicon", "Sample ID", "Contig",
                   "Amplicon" || '-' || "Sample ID" || '-' || "Contig"

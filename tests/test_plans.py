@@ -1,9 +1,11 @@
 """Shapes of physical plans that have to hold at any size of data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import haplospark as hs
 from haplospark import schemas as S
+from haplospark.operators import ranking
 from haplospark.plans import carriers
 from haplospark.plans.catalog import REGISTRY
 from haplospark.sources.variants import variants_of_files
@@ -45,6 +47,25 @@ def test_summary_reads_the_long_table_once(spark):
     assert plan.count("Aggregate(") <= 6
 
 
+def test_variants_cross_the_network_once(spark):
+    """From distinct variants to finished lists: dealt by contig and band, then pieces by contig."""
+    variants = spark.createDataFrame(carriers.variants(spark, SF).rdd, carriers.variants(spark, SF).schema)
+    spans = F.broadcast(spark.createDataFrame([], "Gene string, Amplicon string, `Start Position` bigint, `Stop Position` bigint"))
+    codons = F.broadcast(spark.createDataFrame([], "NUC_SUB string, CODON bigint"))
+    plan = plan_of(hs.mutation_lists(hs.classify_mutations(variants, spans, codons)))
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_ranking_writes_keys_only(spark, monkeypatch):
+    written = []
+    real = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, label: written.append(df.columns) or real(df, label))
+    assert "NUC_SUB" not in plan_of(REGISTRY["haplotype_rank"](spark, SF))
+    assert len(written) == 1 and not set(written[0]) & set(S.MUTATION_COLUMNS)
+    report = REGISTRY["haplotype_report_table"](spark, SF)
+    assert report.columns == S.REPORT_COLUMNS and not set(written[1]) & set(S.MUTATION_COLUMNS)
+
+
 def test_distinct_combines_before_its_shuffle(spark):
     plan = plan_of(carriers.variants(spark, SF).select(*S.VARIANT_COLUMNS).distinct())
     lines = plan.splitlines()

@@ -1,9 +1,11 @@
 import csv
+from pathlib import Path
 
 import pytest
 
 import haplospark as hs
 from haplospark import schemas as S
+from haplospark.scratch import scratch_folder
 
 HEADER = "REGION\tPOS\tREF\tALT\tREF_AA\tALT_AA\n"
 ANN = "C|missense|MODERATE|S|g|t|x|p|1/1|c.1A>C|{}|rest"
@@ -60,9 +62,11 @@ def test_report(spark, run):
     found = [tuple(r) for r in report.drop(S.AMPLICON).collect()]
     assert found == expected
     long = hs.read_stage(spark, f"{out}/haplotype_long_table")
-    assert long.columns == [*S.LONG_COLUMNS, "POS"]
+    assert long.columns == S.LONG_COLUMNS and len(long.columns) == 13
+    assert any(p.name.endswith(".zstd.parquet") for p in (out / "haplotype_long_table").iterdir())
     # Contig 1 has three distinct variants, contig 2 its row of nulls, Q_2 a row per gene.
     assert long.count() == 3 + 1 + 1 + 2 + 1 + 1
+    assert hs.read_stage(spark, f"{out}/rejects").count() == 0
     written = spark.read.parquet(f"{out}/final_report")
     assert written.columns == [*S.REPORT_COLUMNS, S.SIGNAL]
     assert written.count() == 6
@@ -75,7 +79,84 @@ def test_report_as_csv_keeps_the_order(spark, run):
     for part in sorted((out / "final_report").glob("part-*.csv")):
         with part.open() as file:
             lines += list(csv.DictReader(file))
-    assert [line[S.HAPLOTYPE] for line in lines] == [r[S.HAPLOTYPE] for r in report.collect()]
+    order = [("Q_1 Haplotype 1", "S1"), ("Q_1 Haplotype 2", "S1"), ("Q_2 Haplotype 1", "S1"),
+             ("Q_2 Haplotype 2", "S1"), ("Q_9 Haplotype 1", "S2"), ("Q_1 Haplotype 1", "S2")]
+    assert [(line[S.HAPLOTYPE], line[S.SAMPLE]) for line in lines] == order
+    assert [(r[S.HAPLOTYPE], r[S.SAMPLE]) for r in report.collect()] == order
+    as_parquet = hs.run_report(spark, results, bed, str(out / "p"))
+    assert report.schema == as_parquet.schema and report.collect() == as_parquet.collect()
+
+
+def test_everything_set_aside_is_named(spark, run, tmp_path):
+    results, bed, out = run
+    folder = tmp_path / "results" / "sample 1"
+    (folder / "S1_haplotype-2_ivar.tsv").write_text(HEADER + "r\t1\tA\tC\tK\tN\n")
+    (folder / "S1_Q_8_haplotype-2_ivar.tsv").write_text("\n\r\n")
+    (folder / "bad_haplotypes.fasta").write_bytes(b">S1_Q_1_haplotype-9 size=1\n\xff\n")
+    (folder / "odd_haplotypes.fasta").write_text(">S1_Q_1_contig size=9\nA\n")
+    (folder / "c.tvcf.tsv").write_text("ref\tpos\tinfo_ANN\nA\t1\tx\n")
+    with open(bed, "a") as file:
+        file.write("r\t5\t9l\tn\tQ_7_LEFT\t1\tS\n")
+    report = hs.run_report(spark, results, bed, str(out))
+    assert report.count() == 6
+    found = hs.read_stage(spark, f"{out}/rejects").collect()
+    named = sorted((r["path"].rsplit("/", 1)[1], r["line"], r["reason"]) for r in found)
+    assert named == sorted(
+        [
+            ("S1_haplotype-2_ivar.tsv", None, "no contig key in the file name"),
+            ("S1_Q_8_haplotype-2_ivar.tsv", None, "no header"),
+            ("bad_haplotypes.fasta", None, "not UTF-8"),
+            ("odd_haplotypes.fasta", ">S1_Q_1_contig size=9", "no contig key in the header"),
+            ("c.tvcf.tsv", None, "a needed column is missing"),
+            ("primers.bed", "r\t5\t9l\tn\tQ_7_LEFT\t1\tS", "not a primer"),
+        ]
+    )
+
+
+def test_resume_builds_anew_for_other_arguments(spark, run):
+    results, bed, out = run
+    first = hs.run_report(spark, results, bed, str(out)).collect()
+    again = hs.run_report(spark, results, bed, str(out), null_value="L", resume=True)
+    plain = hs.run_report(spark, results, bed, str(out / "fresh"), null_value="L")
+    assert again.collect() == plain.collect() != first
+    back = hs.run_report(spark, results, bed, str(out), resume=True)
+    assert back.collect() == first
+
+
+def test_resume_reads_no_text_again(spark, run, tmp_path):
+    results, bed, out = run
+    first = hs.run_report(spark, results, bed, str(out)).collect()
+    for path in (tmp_path / "results").rglob("*.*"):
+        path.write_text("x\n")
+    assert hs.run_report(spark, results, bed, str(out), resume=True).collect() == first
+
+
+def test_suffix_of_names(spark, run, tmp_path):
+    results, bed, out = run
+    for path in (tmp_path / "results").rglob("*_ivar.tsv"):
+        path.rename(path.with_name(path.name.replace("_ivar.tsv", ".variants.tsv")))
+    options = {"ivar_pattern": "*.variants.tsv", "ivar_suffix": ".variants.tsv"}
+    assert hs.run_report(spark, results, bed, str(out), **options).count() == 6
+    with pytest.raises(ValueError, match="depth"):
+        hs.run_report(spark, results, bed, str(out / "b"), ivar_pattern="*.variants.tsv")
+
+
+def test_no_name_with_a_key(spark, run, tmp_path):
+    results, bed, out = run
+    for path in (tmp_path / "results").rglob("*_ivar.tsv"):
+        path.unlink()
+    (tmp_path / "results" / "S1_h_ivar.tsv").write_text(HEADER)
+    with pytest.raises(ValueError, match="contig key"):
+        hs.run_report(spark, results, bed, str(out))
+
+
+def test_scratch_is_cleared(spark, run):
+    results, bed, out = run
+    folder = Path(scratch_folder(spark)) / "haplospark"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    hs.run_report(spark, results, bed, str(out))
+    left = {p for p in set(folder.iterdir()) - before if any(p.glob("*.parquet"))}
+    assert not left
 
 
 def test_resume_uses_what_was_staged(spark, run, tmp_path):
