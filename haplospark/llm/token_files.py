@@ -34,32 +34,42 @@ from haplospark.llm.common import map_partitions, new_shared_folder, shared_file
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Most words that a worker remembers, and the longest.
-REMEMBERED, LONGEST = 400_000, 64
+#: Words a worker remembers before it starts anew, and the longest of them.
+REMEMBERED, LONGEST = 800_000, 64
 _READ = 2048
 
 
-class Words(dict):
-    """Ids of the parts of texts, as bytes, encoded when first asked for."""
+class Words:
+    """Ids of the parts of texts, as bytes; a text's unknown parts are encoded in one call."""
 
     def __init__(self, path: str):
-        super().__init__()
+        self.known: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(self.tokenizer.get_vocab_size())
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        written = np.array(ids, self.dtype).tobytes()
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = written
-        return written
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of words, each taken as a text of its own."""
+        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids, width = np.array(found.ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+        of_word = np.array(found.word_ids, np.int64)
+        cuts = (np.searchsorted(of_word, np.arange(len(words) + 1)) * width).tolist()
+        for k, word in enumerate(words):
+            self.known[word] = ids[cuts[k] : cuts[k + 1]]
 
     def encode(self, text: str) -> bytes:
+        if text.isascii():
+            text = text.lower()  # the vocabulary is lower case; fewer words to remember
         parts = text.replace("\n", " ").split(" ")
-        return b"".join(map(self.__getitem__, parts))
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        if unknown := set(parts).difference(self.known):
+            self.learn(list(unknown))
+        written = b"".join(map(self.known.__getitem__, parts))
+        for word in unknown:
+            if len(word) > LONGEST:
+                del self.known[word]
+        return written
 
 
 def id_type(vocabulary: int) -> str:
