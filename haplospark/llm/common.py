@@ -18,7 +18,11 @@ from haplospark.scratch import scratch_folder
 #: Characters that separate words, as a regular expression class without brackets.
 WORD_GAP = r"\x20\x09-\x0D"
 
+#: Rows of an Arrow batch where whole documents go through Python and back.
+SHORT_BATCH = 1000
+
 _shipped: set[str] = set()
+_caches: dict[str, Callable[[], None]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +42,26 @@ def new_shared_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/haplospark/{label}-{uuid.uuid4().hex}"
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Let whole documents travel in batches of ``SHORT_BATCH``, unless the application is
+    configured otherwise: thousands of long texts at once, in and out, fill a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(SHORT_BATCH))
+
+
+def forgets(module: str, clear: Callable[[], None]) -> None:
+    """Note how to empty what a module remembers in a worker."""
+    _caches[module] = clear
+
+
+def _take_turn(module: str) -> None:
+    """Workers are used again by other operators: what those remember has to go."""
+    for name, clear in _caches.items():
+        if name != module:
+            clear()
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 
@@ -67,7 +91,10 @@ def map_batches(
     """Apply a function of one Arrow batch to every batch of ``df``."""
     ship(df.sparkSession)
 
+    module = function.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _take_turn(module)
         for batch in batches:
             yield function(batch)
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haplospark.llm.common import map_batches
+from haplospark.llm.common import map_batches, short_batches
 from haplospark.scratch import materialize, settle
 
 REACH = 2
@@ -186,6 +186,7 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
 
 def remove_repeated_chunks(documents: DataFrame) -> DataFrame:
     """Documents with ``text`` cut, ``n_chars`` (if there) counted anew, and ``_gone`` lines."""
+    short_batches(documents.sparkSession)
     names = [f"c{k}" for k in range(len(documents.columns))]
     at = documents.columns.index("text")
     unwanted = repeated_chunks(documents)
