@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haplospark.llm.common import map_batches, ship
+from haplospark.llm.common import forgets, map_batches, ship, short_batches
 
 #: Edits allowed for each so many characters of an item.
 CHARS_PER_EDIT = 12
@@ -140,6 +140,9 @@ def _searcher(items: tuple[tuple[int, str], ...]) -> Searcher:
     return Searcher(items)
 
 
+forgets(__name__, _searcher.cache_clear)
+
+
 def _blocks(benchmark: DataFrame, most: int) -> Iterator[tuple[tuple[int, str], ...]]:
     """Normalised items in blocks, fetched one partition at a time."""
     block, size = [], 0
@@ -193,6 +196,7 @@ def _matcher(items: tuple[tuple[int, str], ...]):
 
 def without_matches(documents: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents in which no item is found, with the columns they came with."""
+    short_batches(documents.sparkSession)
     names = [f"c{k}" for k in range(len(documents.columns))]
     clean = documents.toDF(*names)
     text = names[documents.columns.index("text")]

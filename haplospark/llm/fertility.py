@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haplospark.llm.common import map_batches
+from haplospark.llm.common import forgets, map_batches, short_batches
 
 VOCABULARY = "piece_bpe_32k.model"
 REMEMBERED, LONGEST = 400_000, 64
@@ -112,6 +112,9 @@ def _words(path: str) -> _Words:
     return _Words(path)
 
 
+forgets(__name__, _words.cache_clear)
+
+
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words inside windows that occur twice or more, the first occurrence included."""
     windows = list(zip(*(words[k:] for k in range(window)), strict=False))
@@ -189,23 +192,23 @@ def judge(raw: bytes, lang: str | None, path: str | None = None) -> Figures:
     return Figures(*base, failed, not failed and reason is None, *figures, reason)
 
 
-def _judged(path: str):
-    def run(batch: pa.RecordBatch) -> list[Figures]:
-        texts, langs = batch.column("_bytes"), batch.column("_lang").to_pylist()
-        return [judge(t.as_py() or b"", lang, path) for t, lang in zip(texts, langs, strict=True)]
-
-    return run
+def _judged(texts: pa.Array, langs: pa.Array, path: str) -> list[Figures]:
+    return [
+        judge((text.as_py() or "").encode(), lang.as_py(), path)
+        for text, lang in zip(texts, langs, strict=True)
+    ]
 
 
 def quality_figures(documents: DataFrame, *keep: Column | str, path: str | None = None) -> DataFrame:
     """The kept columns and all figures of every document."""
-    find = _judged(path or public_tokenizers.path(VOCABULARY))
-    narrow = documents.select(*keep, F.col("text").cast("binary").alias("_bytes"), F.col("lang").alias("_lang"))
+    path = path or public_tokenizers.path(VOCABULARY)
+    narrow = documents.select(*keep, F.col("text").alias("_text"), F.col("lang").alias("_lang"))
     fields = narrow.schema.fields[:-2]
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        columns = list(zip(*find(batch), strict=True)) or [()] * len(_TYPES)
+        found = _judged(*batch.columns[-2:], path)
+        columns = list(zip(*found, strict=True)) or [()] * len(_TYPES)
         arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:-2], *arrays], [*batch.schema.names[:-2], *Figures._fields]
@@ -216,18 +219,14 @@ def quality_figures(documents: DataFrame, *keep: Column | str, path: str | None
 
 def keep_good(documents: DataFrame, path: str | None = None) -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    find = _judged(path or public_tokenizers.path(VOCABULARY))
+    short_batches(documents.sparkSession)
+    path = path or public_tokenizers.path(VOCABULARY)
     names = [f"c{k}" for k in range(len(documents.columns))]
-    narrow = documents.toDF(*names).withColumns(
-        {
-            "_bytes": F.col(names[documents.columns.index("text")]).cast("binary"),
-            "_lang": F.col(names[documents.columns.index("lang")]),
-        }
-    )
+    text, lang = documents.columns.index("text"), documents.columns.index("lang")
+    narrow = documents.toDF(*names)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        kept = pa.array([f.kept for f in find(batch)], pa.bool_())
-        return pa.RecordBatch.from_arrays(batch.columns[:-2], batch.schema.names[:-2]).filter(kept)
+        found = _judged(batch.column(text), batch.column(lang), path)
+        return batch.filter(pa.array([f.kept for f in found], pa.bool_()))
 
-    schema = narrow.select(*names).schema
-    return map_batches(narrow, run, schema).toDF(*documents.columns)
+    return map_batches(narrow, run, narrow.schema).toDF(*documents.columns)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from haplospark.llm.common import map_partitions, new_shared_folder, shared_file_system
+from haplospark.llm.common import forgets, map_partitions, new_shared_folder, shared_file_system
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -82,6 +82,9 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
+forgets(__name__, words_of.cache_clear)
+
+
 def _writer(folder: str, path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, name, files = words_of(path), uuid.uuid4().hex, None
