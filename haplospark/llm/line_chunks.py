@@ -35,6 +35,8 @@ DIVISOR = 4
 LEAST_LINES = 2
 LONG_WORDS = 50
 LEAST_WORDS = 10
+#: Most bytes of first occurrences that are broadcast.
+FIRSTS_BYTES = 8 << 20
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 
@@ -172,11 +174,16 @@ def repeated_chunks(documents: DataFrame) -> DataFrame:
     texts = materialize(
         map_batches(wanted, _texts, f"{_KEY}, first int, chunk binary"), "texts"
     )
-    firsts = texts.groupBy("chunk").agg(
-        F.min(F.struct("_key", "first")).alias("_place"), F.count(F.lit(1)).alias("_times")
+    # written by itself, so that a join that shuffles can split a chunk that is everywhere
+    firsts = settle(
+        texts.groupBy("chunk")
+        .agg(F.min(F.struct("_key", "first")).alias("_place"), F.count(F.lit(1)).alias("_times"))
+        .where("_times > 1"),
+        "firsts",
+        FIRSTS_BYTES,
     )
     others = (
-        texts.join(firsts.where("_times > 1"), "chunk")
+        texts.join(firsts, "chunk")
         .where(F.struct("_key", "first") != F.col("_place"))
         .groupBy("_key")
         .agg(F.collect_set("first").alias("_unwanted"))
