@@ -31,11 +31,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haplospark.llm.common import map_batches
+from haplospark.llm.common import forgets, map_batches, short_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Most words and most token pairs that a worker remembers, and the longest word.
-REMEMBERED, PAIRS, LONGEST = 400_000, 2_000_000, 64
+#: Words that a worker remembers before they become the older ones, most token pairs, and
+#: the longest word.
+REMEMBERED, PAIRS, LONGEST = 600_000, 2_000_000, 64
 #: Two white spaces in a row, or one that is neither a blank nor a line end, or one outside.
 _UNEVEN = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 
@@ -112,24 +113,41 @@ class ByteBpe:
 
 
 class _Words(dict):
-    """Ids of words, as bytes, each with what stands before it in the text."""
+    """Ids of words, as bytes, each with what stands before it in the text.
+
+    When it is full, its words become the older ones, of which those met again come back.
+    """
 
     def __init__(self, bpe: ByteBpe, before: str):
         super().__init__()
         self.bpe, self.before = bpe, before
+        self.older: dict[str, bytes] = {}
+
+    def cut(self, word: str) -> list[str]:
+        return PATTERN.findall(self.before + word)
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I")
-        for piece in PATTERN.findall(self.before + word):
-            ids.extend(self.bpe.encode_piece(piece.encode()))
-        written = ids.tobytes()
+        written = self.older.get(word)
+        if written is None:
+            ids = array("I")
+            for piece in self.cut(word):
+                ids.extend(self.bpe.encode_piece(piece.encode()))
+            written = ids.tobytes()
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[word] = written
         return written
 
 
+class _Pieces(_Words):
+    """The same for pieces that the pattern has cut already."""
+
+    def cut(self, piece: str) -> list[str]:
+        return [piece]
+
+
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 
 
@@ -138,22 +156,12 @@ class TextCodec:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.bpe = ByteBpe(ranks)
-        self.first, self.other, self.exact = (_Words(self.bpe, b) for b in ("", " ", ""))
+        self.first, self.other, self.exact = _Words(self.bpe, ""), _Words(self.bpe, " "), _Pieces(self.bpe, "")
         self.decimal = [b"%d" % k for k in range(len(self.bpe.vocabulary))]
 
     def encode(self, text: str) -> np.ndarray:
         if _UNEVEN.search(text):
-            parts = []
-            for piece in PATTERN.findall(text):
-                ids = self.exact.get(piece)
-                if ids is None:
-                    ids = array("I", self.bpe.encode_piece(piece.encode())).tobytes()
-                    if len(piece) <= LONGEST:
-                        if len(self.exact) >= REMEMBERED:
-                            self.exact.clear()
-                        self.exact[piece] = ids
-                parts.append(ids)
-            return np.frombuffer(b"".join(parts), np.uint32)
+            return np.frombuffer(b"".join(map(self.exact.__getitem__, PATTERN.findall(text))), np.uint32)
         parts, between = [], self.first["\n"]
         for line in text.split("\n") if text else []:
             words = line.split(" ")
@@ -177,6 +185,9 @@ def codec(path: str) -> TextCodec:
     return TextCodec(read_ranks(path))
 
 
+forgets(__name__, codec.cache_clear)
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[str]:
     return (t.as_py() or "" for t in batch.column("_text"))
 
@@ -196,6 +207,7 @@ def encode_documents(
     documents: DataFrame, *keep: Column | str, path: str | None = None
 ) -> DataFrame:
     """The kept columns, ``n_tokens`` and the ``ids`` of every whole text."""
+    short_batches(documents.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
     narrow, schema = _kept(documents, keep)
 
