@@ -34,8 +34,9 @@ from haplospark.llm.common import forgets, map_partitions, new_shared_folder, sh
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Words a worker remembers before it starts anew, and the longest of them.
-REMEMBERED, LONGEST = 800_000, 64
+#: Words a worker remembers before they become the older ones, of which those met again come
+#: back; and the longest of them.
+REMEMBERED, LONGEST = 600_000, 64
 _READ = 2048
 
 
@@ -44,6 +45,7 @@ class Words:
 
     def __init__(self, path: str):
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = id_type(self.tokenizer.get_vocab_size())
@@ -62,8 +64,12 @@ class Words:
             text = text.lower()  # the vocabulary is lower case; fewer words to remember
         parts = text.replace("\n", " ").split(" ")
         if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if unknown := set(parts).difference(self.known):
+            self.older, self.known = self.known, {}
+        unknown = set(parts).difference(self.known)
+        if unknown and self.older:
+            self.known.update({w: self.older[w] for w in unknown if w in self.older})
+            unknown = unknown.difference(self.known)
+        if unknown:
             self.learn(list(unknown))
         written = b"".join(map(self.known.__getitem__, parts))
         for word in unknown:
