@@ -1,0 +1,194 @@
+"""Removal of passages of whole lines that occur elsewhere, wherever they start and end.
+
+Every two neighbouring lines with words make a unit (with the blank lines between them), and
+a line of more than ``LONG_WORDS`` words makes one by itself. There is no choice of borders
+that a shared passage has to contain: all of its units occur again, so it is found with its
+first and its last line. A unit that occurs again is a repeat everywhere but at its first
+occurrence: in the smallest doc_id (null last), then text hash, then place; within one text,
+occurrences that overlap the first one are not repeats. Lines in repeats go if the run of
+such lines has ``LEAST_WORDS`` words at least; a text without a line that is left is emptied.
+
+Units are found by 128 bits of hash, and compared by their bytes before anything goes. Three
+passes over the documents: hashes of units, texts of the repeated ones, and removal. Only
+hashes of all units and texts of repeated ones are shuffled; counts and first places are
+combined before they are.
+
+Defined cases: a null text stays null; blank lines go within repeats only, or where nothing
+else is left; rows that repeat a doc_id and text are treated alike and, where they are first,
+both keep it; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from haplospark.llm.common import map_batches, short_batches
+from haplospark.scratch import materialize, settle
+
+LONG_WORDS = 50
+LEAST_WORDS = 10
+#: Most bytes of first occurrences that are broadcast.
+FIRSTS_BYTES = 8 << 20
+
+
+def units(lines: list[bytes]) -> list[tuple[int, int, int]]:
+    """Place, first line and line after the last of every unit.
+
+    The place is twice the number of the first line among the lines with words, plus one for
+    a long line by itself. Two long neighbours need no unit: where both occur again together,
+    each does by itself.
+    """
+    words = [len(line.split()) for line in lines]
+    full, found = [k for k, n in enumerate(words) if n], []
+    for at, k in enumerate(full):
+        if words[k] > LONG_WORDS:
+            found.append((2 * at + 1, k, k + 1))
+        if at + 1 < len(full) and min(words[k], words[full[at + 1]]) <= LONG_WORDS:
+            found.append((2 * at, k, full[at + 1] + 1))
+    return found
+
+
+def without_repeats(raw: bytes, repeats: set[int]) -> tuple[bytes, int]:
+    """The text without the lines in the repeats at the given places, and how many lines went."""
+    lines = raw.split(b"\n")
+    covered = [False] * len(lines)
+    for place, start, stop in units(lines):
+        if place in repeats:
+            covered[start:stop] = [True] * (stop - start)
+    kept, run, total = [], [], 0
+    for line, inside in zip([*lines, b""], [*covered, False], strict=True):
+        if inside:
+            run.append(line)
+            total += len(line.split())
+            continue
+        if total < LEAST_WORDS:
+            kept += run
+        kept.append(line)
+        run, total = [], 0
+    kept.pop()
+    if len(kept) < len(lines) and not any(line.split() for line in kept):
+        return b"", len(lines)
+    return b"\n".join(kept), len(lines) - len(kept)
+
+
+def _hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row per unit: its document's columns, 128 bits of hash, its place."""
+    rows, hashes, places = [], [], []
+    for k, text in enumerate(batch.column(batch.num_columns - 1)):
+        raw = text.as_py()
+        if raw is None:
+            continue
+        lines = raw.split(b"\n")
+        for place, start, stop in units(lines):
+            rows.append(k)
+            hashes.append(xxhash.xxh3_128_digest(b"\n".join(lines[start:stop])))
+            places.append(place)
+    kept = batch.take(pa.array(rows, pa.int64())).columns[:-1]
+    both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+    columns = [*kept, pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(places, pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "h1", "h2", "place"])
+
+
+def _texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row per wanted unit with its text; the last columns are the places and the bytes."""
+    rows, texts, places = [], [], []
+    for k, (raw, wanted) in enumerate(zip(batch.column("_bytes"), batch.column("_wanted"), strict=True)):
+        lines, wanted = raw.as_py().split(b"\n"), set(wanted.as_py())
+        for place, start, stop in units(lines):
+            if place in wanted:
+                rows.append(k)
+                texts.append(b"\n".join(lines[start:stop]))
+                places.append(place)
+    kept = batch.take(pa.array(rows, pa.int64())).columns[:-2]
+    columns = [*kept, pa.array(places, pa.int32()), pa.array(texts, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "place", "unit"])
+
+
+def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    texts, gone = [], []
+    for raw, repeats in zip(batch.column("_bytes"), batch.column("_repeats"), strict=True):
+        raw, repeats = raw.as_py(), repeats.as_py()
+        text, n = without_repeats(raw, set(repeats)) if raw is not None and repeats else (raw, 0)
+        texts.append(text)
+        gone.append(n)
+    columns = [*batch.columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(gone, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "_text", "_gone"])
+
+
+def _key(doc_id: Column, text: Column) -> Column:
+    """What tells documents apart and puts them in order."""
+    return F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.xxhash64(text).alias("hash"))
+
+
+_KEY = "_key struct<none: boolean, id: bigint, hash: bigint>"
+
+
+def repeats(documents: DataFrame) -> DataFrame:
+    """``_key`` of the documents with repeats, and ``_repeats``, the places of these."""
+    narrow = documents.select(
+        _key(documents["doc_id"], documents["text"]).alias("_key"), documents["text"].cast("binary").alias("_bytes")
+    )
+    hashes = materialize(map_batches(narrow, _hashed, f"{_KEY}, h1 bigint, h2 bigint, place int"), "units")
+    repeated = settle(
+        hashes.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated"
+    )
+    places = settle(
+        hashes.join(repeated, ["h1", "h2"], "left_semi").groupBy("_key").agg(F.collect_set("place").alias("_wanted")),
+        "places",
+    )
+    texts = materialize(
+        map_batches(narrow.join(places, "_key"), _texts, f"{_KEY}, place int, unit binary"), "texts"
+    )
+    # written by itself, so that a join that shuffles can split a unit that is everywhere
+    firsts = settle(
+        texts.groupBy("unit")
+        .agg(F.min(F.struct("_key", "place")).alias("_first"), F.count(F.lit(1)).alias("_times"))
+        .where("_times > 1"),
+        "firsts",
+        FIRSTS_BYTES,
+    )
+    # places of one kind are two apart for each line
+    lines = F.when(F.col("place") % 2 == 1, 2).otherwise(4)
+    later = (F.col("_key") != F.col("_first._key")) | (F.col("place") >= F.col("_first.place") + lines)
+    others = texts.join(firsts, "unit").where(later).groupBy("_key").agg(F.collect_set("place").alias("_repeats"))
+    return settle(others, "repeats")
+
+
+def remove_repeats(documents: DataFrame) -> DataFrame:
+    """Documents with ``text`` cut, ``n_chars`` (if there) counted anew, and ``_gone`` lines."""
+    short_batches(documents.sparkSession)
+    names = {c: f"c{k}" for k, c in enumerate(documents.columns)}
+    plain = documents.toDF(*names.values())
+    text = plain[names["text"]]
+    joined = plain.withColumn("_key", _key(plain[names["doc_id"]], text)).join(repeats(documents), "_key", "left")
+    others = [f for f in plain.schema.fields if f.name != names["text"]]
+    cut = map_batches(
+        joined.select(*(f.name for f in others), F.col(names["text"]).cast("binary").alias("_bytes"), "_repeats"),
+        _removed,
+        "".join(f"{f.name} {f.dataType.simpleString()}, " for f in others) + "_text string, _gone bigint",
+    )
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("_text")
+        if name == "n_chars":
+            kind = plain.schema[names[name]].dataType
+            return F.coalesce(F.length("_text").cast(kind), F.col(names[name]))
+        return F.col(names[name])
+
+    return cut.select(*(column(c).alias(c) for c in documents.columns), "_gone")
+
+
+def dedup_lines(documents: DataFrame) -> DataFrame:
+    """The documents with repeated passages cut, with the columns they came with."""
+    return remove_repeats(documents).drop("_gone")
+
+
+def line_dedup_report(documents: DataFrame) -> DataFrame:
+    """Per document: doc_id, the text that stays, and how many lines went."""
+    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return remove_repeats(narrow).withColumnRenamed("_gone", "lines_removed")

@@ -11,8 +11,8 @@ from haplospark.llm import (
     chat,
     decontaminate,
     fertility,
-    line_chunks,
     pages,
+    passages,
     scoring,
     shards,
     simhash,
@@ -62,7 +62,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_chunks.line_dedup_report(table(spark, sf_dir, "documents"))
+    return passages.line_dedup_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

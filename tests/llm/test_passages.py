@@ -1,0 +1,99 @@
+"""Passages of whole lines against a plain pass, and recall at random places."""
+
+import random
+
+from haplospark.llm import passages as P
+from haplospark.llm import queries
+
+SCHEMA = "doc_id bigint, text string, lang string, n_chars bigint, place int, _key string"
+
+
+def plain(rows):
+    """Texts after removal, by doc_id, from first occurrences in one dictionary."""
+    first, taken = {}, {}
+    for doc_id, text in sorted((r for r in rows if r[1] is not None), key=lambda r: (r[0] is None, r[0] or 0)):
+        lines = text.encode().split(b"\n")
+        full = [k for k, line in enumerate(lines) if line.split()]
+        marks = taken.setdefault(doc_id, set())
+        for at, k in enumerate(full):
+            for size in (1, 2):
+                if at + size > len(full) or size == 1 and len(lines[k].split()) <= 50:
+                    continue
+                stop = full[at + size - 1] + 1
+                where = first.setdefault((size, b"\n".join(lines[k:stop])), (doc_id, at))
+                if where[0] != doc_id or at >= where[1] + size:
+                    marks.update(range(k, stop))
+    out = {}
+    for doc_id, text in rows:
+        lines = [] if text is None else text.encode().split(b"\n")
+        marks, gone, k = taken.get(doc_id, set()), set(), 0
+        while k < len(lines):
+            stop = k
+            while stop in marks:
+                stop += 1
+            if sum(len(line.split()) for line in lines[k:stop]) >= 10:
+                gone.update(range(k, stop))
+            k = max(stop, k + 1)
+        kept = [line for k, line in enumerate(lines) if k not in gone]
+        if gone and not any(line.split() for line in kept):
+            kept = []
+        out[doc_id] = (None if text is None else b"\n".join(kept).decode(), len(lines) - len(kept))
+    return out
+
+
+def line(draw, n):
+    return " ".join(str(draw.randint(0, 99999)) for _ in range(n))
+
+
+def test_removal(spark):
+    draw = random.Random(2)
+    passage, long_line = [line(draw, 8) for _ in range(30)], line(draw, 60)
+    rows = []
+    for k in range(120):
+        lines = [line(draw, draw.randint(0, 12)) for _ in range(draw.randint(0, 12))]
+        if k % 3 == 0:
+            lines[len(lines) // 2 : len(lines) // 2] = passage
+        if k % 4 == 0:
+            lines.append(long_line)
+        if k % 5 == 0:
+            lines += ["common short line", "and its neighbour"]
+        rows.append((k, "\n".join(lines)))
+    rows += [(500, None), (501, ""), (502, "\n\n"), (503, "ü" * 90000), (504, rows[3][1]), (505, "\n\n" + rows[9][1] + "\n")]
+    rows += [(506, "\n".join(["same row of seven words once more"] * 7)), (507, "\n".join(["a b c d e f", "g h i j"] * 4))]
+    rows += [(None, "\n".join(passage))]
+    docs = spark.createDataFrame([(*r, "en", 1, 1, "k") for r in rows], SCHEMA).repartition(5)
+    found = P.remove_repeats(docs).collect()
+    assert {r["doc_id"]: (r["text"], r["_gone"]) for r in found} == plain(rows)
+    texts = {r["doc_id"]: r["text"] for r in found}
+    assert sum(long_line in (t or "") for t in texts.values()) == 1
+    assert all(sum(p in (t or "") for t in texts.values()) == 1 for p in passage)
+    assert texts[504] == texts[505] == texts[None] == ""
+    assert texts[506].count("same") == 2 and texts[507] == "a b c d e f\ng h i j"
+    cut = P.dedup_lines(docs)
+    assert cut.schema.simpleString() == docs.schema.simpleString()
+    assert all(r["n_chars"] == len(r["text"]) for r in cut.collect() if r["text"] is not None)
+
+
+def test_query_on_whole_small_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    found = queries.op10_line_dedup(spark, "/root/testdata/sf0.01").collect()
+    assert {r["doc_id"]: (r["text"], r["lines_removed"]) for r in found} == plain(rows)
+
+
+def test_recall_of_short_passages_at_random_places(spark):
+    """Passages of 2 to 10 lines within two otherwise different texts are removed to the line."""
+    draw, rows, expected = random.Random(5), [], {}
+    for k in range(300):
+        passage = [line(draw, draw.randint(5, 20)) for _ in range(2 + k % 9)]
+        for doc_id in (2 * k, 2 * k + 1):
+            before, after = ([line(draw, draw.randint(1, 20)) for _ in range(draw.randint(0, 15))] for _ in "ab")
+            rows.append((doc_id, "\n".join([*before, *passage, *after])))
+            expected[doc_id] = ("\n".join([*before, *(passage if doc_id % 2 == 0 else []), *after]), len(passage) * (doc_id % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r["doc_id"]: (r["text"], r["lines_removed"]) for r in P.line_dedup_report(docs).collect()}
+    assert found == expected
+
+
+def test_empty_table(spark):
+    assert P.line_dedup_report(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
