@@ -12,6 +12,12 @@ differing bits leave two of four quarters untouched, so no link is lost. A crowd
 cut into pieces, every two of which meet in a task of their own. What leaves a task is a
 spanning forest of the links it found, never the pairs.
 
+``keep_one_of_each`` has a rule of its own: texts are near copies whose sets of lower-case
+five-word shingles have a Jaccard similarity of ``LEAST_SIMILAR`` or more. Candidates are
+fingerprints of these sets that share a band of minimum hashes and are within ``WIDE_RADIUS``
+bits (filtered by the same pivots). Their components are cut into pieces, and all pairs in
+each two pieces are verified by their sets, unless texts in between already link them.
+
 Defined cases: a null or empty text, or one of white space only, has fingerprint zero and
 links like any other; fewer than three words make one shingle; a null doc_id takes part,
 but never names a component unless all ids in it are null; repeated rows each give a row.
@@ -19,7 +25,7 @@ but never names a component unless all ids in it are null; repeated rows each gi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -38,7 +44,16 @@ RADIUS = 2
 PIVOTS = 16
 #: Most fingerprints of a cell that are compared at once.
 PIECE = 4096
+#: The near copies of ``keep_one_of_each``.
+COPY_WORDS = 5
+LEAST_SIMILAR = 0.8
+WIDE_RADIUS = 20
+#: At a similarity of 0.8 all bands differ once in some 4,600 pairs.
+BANDS, BAND_ROWS = 16, 4
+#: Most sets of a candidate component that one of its pieces has.
+SETS = 256
 _SLICE = 128
+Forest = Callable[[np.ndarray, np.ndarray], Iterator[tuple[int, int]]]
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -82,8 +97,8 @@ def fingerprints(documents: DataFrame, *keep: Column) -> DataFrame:
     return map_batches(narrow, _fingerprints, f"{schema}, _fp bigint")
 
 
-def _with_distances(distinct: DataFrame) -> DataFrame:
-    """Distances to the pivots, eight to an integer."""
+def _with_distances(distinct: DataFrame, *keep: str) -> DataFrame:
+    """Distances to the pivots, eight to an integer, after the columns to keep."""
     def packed(some: list[int]) -> Column:
         total = F.lit(0).cast("long")
         for k, pivot in enumerate(some):
@@ -92,7 +107,7 @@ def _with_distances(distinct: DataFrame) -> DataFrame:
         return total
 
     refs = pivots()
-    return distinct.select("_fp", packed(refs[:8]).alias("_d0"), packed(refs[8:]).alias("_d1"))
+    return distinct.select(*keep, "_fp", packed(refs[:8]).alias("_d0"), packed(refs[8:]).alias("_d1"))
 
 
 def _cells(table: DataFrame) -> DataFrame:
@@ -161,7 +176,7 @@ def links_within(fps: np.ndarray, distances: np.ndarray, radius: int = RADIUS) -
                 yield x, y
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch], forest: Forest = links_within) -> Iterator[pa.RecordBatch]:
     """Links within each run of equal (kind, part, a, b); runs may span batches."""
     held: list[np.ndarray] = []
 
@@ -169,7 +184,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = np.concatenate(blocks)
         fps = rows[:, 4].astype(np.uint64)
         distances = np.ascontiguousarray(rows[:, 5:7]).view(np.uint8).astype(np.int16)
-        found = list(links_within(fps, distances))
+        found = list(forest(fps, distances))
         if not found:
             return None
         pairs = rows[np.array(found), 4]
@@ -227,8 +242,172 @@ def simhash_components(documents: DataFrame) -> DataFrame:
     )
 
 
+def shingle_set(text: bytes) -> np.ndarray:
+    """The hashes of a text's five-word shingles, each once, in order."""
+    return np.unique(np.array([xxhash.xxh64_intdigest(g, SEED) for g in shingles(text, COPY_WORDS)], np.uint64))
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sets in order have a Jaccard similarity of ``LEAST_SIMILAR`` or more."""
+    if min(len(a), len(b)) < LEAST_SIMILAR * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= LEAST_SIMILAR * (len(a) + len(b) - both)
+
+
+_FACTORS = np.array(
+    [xxhash.xxh64_intdigest(f"factor {k}", SEED) | 1 for k in range(BANDS * BAND_ROWS)], np.uint64
+)
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """A hash of every band of minimum hashes; none for an empty set."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 2048):
+        least = np.minimum(least, (hashes[at : at + 2048, None] * _FACTORS).min(0))
+    rows = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), SEED) for r in rows], np.uint64).view(np.int64)
+
+
+def _set_fingerprint(hashes: np.ndarray) -> int:
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 8192):
+        piece = hashes[at : at + 8192].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(piece, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
+
+
+def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    fps, whole, parts = [], [], []
+    for text in batch.column(batch.num_columns - 1):
+        hashes = shingle_set(text.as_py() or b"")
+        fps.append(_set_fingerprint(hashes))
+        whole.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+        parts.append(bands(hashes))
+    both = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (fps, whole)]
+    columns = [*batch.columns[:-1], *both, pa.array(parts, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "_fp", "_set", "_bands"])
+
+
+def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+    found = [shingle_set(t.as_py() or b"").tobytes() for t in batch.column(batch.num_columns - 1)]
+    columns = [*batch.columns[:-1], pa.array(found, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "_hashes"])
+
+
+def _forest(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
+    """A spanning forest over rows; ``near`` says which of the given earlier rows link to a row.
+
+    It is asked in short runs, and never for rows that are linked already.
+    """
+    label, run = np.arange(count), 256
+    for k in range(1, count):
+        at = 0
+        while at < k:
+            others = np.arange(at, min(k, at + run))
+            others = others[label[others] != label[k]]
+            for other in others[near(k, others)].tolist() if len(others) else ():
+                if label[other] != label[k]:
+                    label[label == label[other]] = label[k]
+                    yield k, other
+            at += run
+
+
+def wide_links(fps: np.ndarray, distances: np.ndarray) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the fingerprints within ``WIDE_RADIUS``, after the pivots' filter."""
+
+    def near(k: int, others: np.ndarray) -> np.ndarray:
+        close = (np.abs(distances[others] - distances[k]) <= WIDE_RADIUS).all(axis=1)
+        return close & (np.bitwise_count(fps[others] ^ fps[k]) <= WIDE_RADIUS)
+
+    return _forest(len(fps), near)
+
+
+def _wide_linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _linked(batches, wide_links)
+
+
+def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the similar sets."""
+    label = list(range(len(sets)))
+
+    def root(k: int) -> int:
+        while label[k] != k:
+            label[k] = label[label[k]]
+            k = label[k]
+        return k
+
+    for k in range(1, len(sets)):
+        for other in range(k):
+            a, b = root(k), root(other)
+            if a != b and similar(sets[k], sets[other]):
+                label[a] = b
+                yield k, other
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of similar sets within each run of equal (_root, a, b); runs may span batches."""
+    run, nodes, sets = None, [], []
+
+    def solved() -> pa.RecordBatch:
+        found = [(nodes[x], nodes[y]) for x, y in similar_links(sets)]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], ["u", "v"])
+
+    for batch in batches:
+        for *key, node, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != run:
+                if len(sets) > 1:
+                    yield solved()
+                run, nodes, sets = key, [], []
+            nodes.append(node)
+            sets.append(np.frombuffer(hashes, np.uint64))
+    if len(sets) > 1:
+        yield solved()
+
+
+def similar_links_of(documents: DataFrame, key: Column, signed: DataFrame) -> DataFrame:
+    """Verified links (u, v) of nodes, the distinct sets of ``signed``."""
+    cells = signed.select("_fp", F.posexplode("_bands").alias("_kind", "part")).select(
+        F.col("_kind").cast("byte").alias("kind"), "part", "_fp"
+    )
+    cells = _with_distances(materialize(cells.distinct(), "bands"), "kind", "part")
+    keys = ["kind", "part", "a", "b"]
+    runs = _in_pieces(cells, PIECE).repartition(*keys).sortWithinPartitions(*keys, "_fp")
+    roots = materialize(connected_components(map_partitions(runs, _wide_linked, "u bigint, v bigint")), "candidates")
+    nodes = signed.groupBy("_node", "_fp").agg(F.min("_key").alias("_key"))
+    rooted = materialize(
+        nodes.join(roots, nodes["_fp"] == roots["node"], "left").select(
+            "_node", "_key", F.coalesce("root", "_fp").alias("_root")
+        ),
+        "rooted",
+    )
+    groups = settle(rooted.groupBy("_root").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1"), "groups")
+    pieces = F.ceil(F.col("_count") / SETS).cast("int")
+    own = F.pmod(F.xxhash64("_node"), pieces).cast("int")
+    wanted = settle(rooted.join(groups, "_root").select("_key", "_node", "_root", pieces.alias("_pieces"), own.alias("_own")), "wanted")
+    texts = documents.select(key.alias("_key"), F.col("text").cast("binary").alias("_bytes"))
+    fields = "_root bigint, _pieces int, _own int, _node string, _hashes binary"
+    sets = materialize(
+        map_batches(
+            texts.join(wanted, "_key").select("_root", "_pieces", "_own", "_node", "_bytes"), _sets, fields
+        ).dropDuplicates(["_node"]),
+        "sets",
+    )
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("_pieces") - 1),
+        lambda other: F.struct(F.least("_own", other).alias("a"), F.greatest("_own", other).alias("b")),
+    )
+    met = sets.select("_root", F.explode(meets).alias("_meet"), "_node", "_hashes").select(
+        "_root", "_meet.*", "_node", "_hashes"
+    )
+    ordered = met.repartition("_root", "a", "b").sortWithinPartitions("_root", "a", "b", "_node")
+    return map_partitions(ordered, _verified, "u string, v string")
+
+
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents with one of each component: that with the smallest doc_id.
+    """The documents with one of each component of near copies: that with the smallest doc_id.
 
     Rows that repeat a doc_id and text are copies too, and one of them stays. Where several
     texts share the smallest doc_id, that with the smallest hash stays.
@@ -237,8 +416,16 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     key = F.struct(
         documents["doc_id"].isNull().alias("none"), documents["doc_id"].alias("id"), hashed.alias("hash")
     )
-    marked = materialize(fingerprints(documents, key.alias("_key")), "marked")
-    others = marked.join(near_duplicates(marked, "_key"), "_fp").where("_key <> component_id")
+    narrow = documents.select(key.alias("_key"), F.col("text").cast("binary").alias("_bytes"))
+    kind = narrow.schema["_key"].dataType.simpleString()
+    found = map_batches(narrow, _signed, f"_key {kind}, _fp bigint, _set bigint, _bands array<bigint>")
+    marked = materialize(found.withColumn("_node", F.concat(F.hex("_fp"), F.lit("-"), F.hex("_set"))), "signed")
+    roots = materialize(connected_components(similar_links_of(documents, key, marked)), "components")
+    named = marked.select("_key", "_node").join(roots, marked["_node"] == roots["node"], "left").select(
+        "_key", F.coalesce("root", "_node").alias("_root")
+    )
+    least = named.groupBy("_root").agg(F.min("_key").alias("_least"))
+    others = named.join(least, "_root").where("_key <> _least")
     losers = settle(others.select("_key.id", "_key.hash").distinct(), "losers")
     same = documents["doc_id"].eqNullSafe(losers["id"]) & (hashed == losers["hash"])
     kept = documents.join(losers, same, "left_anti")
