@@ -10,6 +10,7 @@ from haplospark.llm import (
     byte_bpe,
     chat,
     decontaminate,
+    divergence,
     fertility,
     pages,
     passages,
@@ -17,6 +18,7 @@ from haplospark.llm import (
     shards,
     simhash,
     token_files,
+    trie,
 )
 from haplospark.llm.common import table
 from haplospark.llm.sql import CHAT_SQL
@@ -65,6 +67,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,7 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_lm_scoring,
         op10_line_dedup,
+        op11_source_divergence,
+        op12_conversation_trie,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_formatting": CHAT_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_formatting": CHAT_SQL,
+    "op11_source_divergence": divergence.DIVERGENCE_SQL,
+    "op12_conversation_trie": trie.TRIE_SQL,
+}
