@@ -17,6 +17,7 @@ from haplospark.llm import (
     scoring,
     shards,
     simhash,
+    suffixes,
     token_files,
     trie,
 )
@@ -75,6 +76,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_string_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_line_dedup,
         op11_source_divergence,
         op12_conversation_trie,
+        op13_suffix_array_dedup,
     )
 }
 
