@@ -1,0 +1,110 @@
+"""Source divergence against a plain version in whole numbers, with copies and odd rows."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from check import compare, connect
+from haplospark.llm import divergence as D
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "doc_id bigint, text string, lang string, source string, h1 bigint, times int, term string"
+
+
+def plain(rows):
+    """Every pair over all kept terms; rows are (text, lang, source)."""
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    docs, counts, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in ([x or "" for x in r] for r in rows):
+        words = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text.translate(table))
+        docs[lang].update(set(words))
+        counts[lang, source].update(words)
+        groups[lang].add(source)
+    out = []
+
+    def ranked(lang, source, part, found):
+        found = sorted(found, key=lambda x: (-x[1], x[0].encode()))
+        return [(lang, source, part, item, value, k + 1) for k, (item, value) in enumerate(found)]
+
+    for lang, sources in groups.items():
+        kept = {t for t, n in docs[lang].items() if n >= 30}
+
+        def smooth(own, kept=kept):
+            total = sum(own[t] for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (own[t] + 5) // total for t in kept}
+
+        p = {s: smooth(counts[lang, s]) for s in sources}
+        q = smooth(sum((counts[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pairs = [(o, sum(abs(p[s][t] - p[o][t]) for t in kept)) for o in sources if o != s]
+            out += ranked(lang, s, "pair", pairs)
+            above = [(t, p[s][t] - q[t]) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            out += ranked(lang, s, "term", above)[:50]
+    return sorted(out)
+
+
+def test_terms():
+    assert D.terms("Ab1c Über-ÄB\u00a0x\t_[z]".encode()) == [b"ab", b"c", "Über".encode(), "Äb\u00a0x".encode(), b"z"]
+
+
+def test_odd_rows(spark):
+    """Copies within and across sources, nulls, empty texts, groups without terms, ties."""
+    draw, rows = random.Random(3), []
+    words = ["Alpha", "beta", "gamma", "délta", "eps", "zeta", "eta's", "日本"]
+    for k in range(400):
+        text = " ".join(draw.choice(words[: 3 + k % 6]) for _ in range(draw.randint(0, 25)))
+        rows.append((text, draw.choice(["en", "de", None]), draw.choice(["a", "b", "c", "", None])))
+    rows += [("the same text everywhere " * 5, "en", s) for s in "aabbbc" for _ in range(40)]
+    rows += [("the same text everywhere " * 5, "de", "a")] * 35
+    rows += [(None, "en", "empty"), ("", "xx", "one"), ("...", "xx", "two"), ("lone", "yy", None), ("x " * 60000, "en", "a")]
+    docs = spark.createDataFrame([(k, *r, 1, 2, "t") for k, r in enumerate(rows)], SCHEMA).repartition(7)
+    found = D.source_divergence(docs)
+    assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert sorted(tuple(r) for r in found.collect()) == plain(rows)
+
+
+def test_collapse(spark):
+    rows = [("t", "en", "a"), ("t", "en", "a"), ("t", "en", "b"), ("t", "de", "a"), ("u", None, None)]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    found = sorted(
+        (r["lang"], bytes(r["text"]), sorted(tuple(c) for c in r["copies"])) for r in D.collapse(docs).collect()
+    )
+    assert found == [("", b"u", [("", 1)]), ("de", b"t", [("a", 1)]), ("en", b"t", [("a", 2), ("b", 1)])]
+
+
+def test_counts_beyond_64_bits_of_product(spark):
+    row = spark.range(1).select(
+        D.frequency(F.lit(10**15), F.lit(3 * 10**15), F.lit(7)).alias("a"), D.frequency(F.lit(0), F.lit(0), F.lit(1)).alias("b")
+    )
+    assert tuple(row.first()) == (1 + 10**9 * (10**15 + 5) // (3 * 10**15 + 35), 1 + 10**9)
+
+
+def test_counting_in_parts(monkeypatch):
+    """However often a task hands its counts on, they add up to the same."""
+    texts = [b"a b c", b"a a", b"", b"d b"]
+    copies = [[{"source": "s", "n": 2}, {"source": "t", "n": 1}], [{"source": "s", "n": 1}], [{"source": "s", "n": 5}], [{"source": "t", "n": 3}]]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 4, "text": pa.array(texts, pa.binary()), "copies": copies})
+
+    def added():
+        total = Counter()
+        for part in D._counted(iter([batch])):
+            for row in part.to_pylist():
+                total[row["source"], row["term"], "n"] += row["n"]
+                total[row["source"], row["term"], "docs"] += row["docs"]
+        return total
+
+    whole = added()
+    assert whole["s", "a", "n"] == 4 and whole["s", "a", "docs"] == 3 and whole["t", "b", "docs"] == 4
+    monkeypatch.setattr(D, "HELD", 1)
+    assert added() == whole
+
+
+def test_sql(spark):
+    assert compare(spark, connect(SF), "op11_source_divergence", SF).startswith("ok 5")
+
+
+def test_empty_table(spark):
+    assert D.source_divergence(spark.createDataFrame([], "text string, lang string, source string")).count() == 0

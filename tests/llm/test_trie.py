@@ -1,0 +1,128 @@
+"""The trie of conversations against a plain trie, for any number of shards, and its SQL."""
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from check import compare, connect
+from haplospark.llm import trie as T
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, path string, shard int"
+
+
+def plain_paths(rows):
+    """Rebuilt turns by conv_id; rows are (conv_id, turn, role, text)."""
+    own = defaultdict(list)
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            role, text = role or "", text or ""
+            name = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            own[conv_id].append((turn is not None, turn or 0, name, role, text))
+    own = {c: [t[3:] for t in sorted(turns)] for c, turns in own.items()}
+    out = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        first = c - (abs(c) % 5 if c >= 0 else -(abs(c) % 5))
+        out[c] = tuple(own.get(first, [])[:h] + turns[h:])
+    return out
+
+
+def plain_trie(paths):
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, path in paths.items():
+        ends[path].append(c)
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+    children = defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for node, convs in members.items():
+        own = (len(convs) - 1) * (len(node[-1][1].encode()) if node else 0)
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += not children[node]
+            saved[node[:d]] += own
+    return sorted(
+        (
+            min(convs),
+            len(node),
+            min(members[node[:-1]]) if node else None,
+            len(convs),
+            children[node],
+            leaves[node],
+            saved[node],
+            hashlib.sha256(",".join(map(str, sorted(ends[node]))).encode()).hexdigest(),
+        )
+        for node, convs in members.items()
+    )
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(x is not None, x) for x in r])
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: [(x is not None, x) for x in r])
+
+
+def odd_rows():
+    """A hot first turn, copies, ties, nulls, negative ids, long conversations that share much."""
+    draw, rows = random.Random(4), []
+    for c in range(-10, 220):
+        turns = draw.randint(1, 6)
+        start = "hello" if c % 3 else draw.choice(["hi", "hey", None])
+        for t in range(turns):
+            rows.append((c, t, draw.choice(["user", "assistant", None]) if t > 1 else "user", start if t < 2 else draw.choice("xyz")))
+    rows += [(c, t, "user", "copy") for c in range(300, 420) for t in range(3)]
+    rows += [(c, t, "user", f"é{t}") for c in (500, 505, 510) for t in range(300 + c % 2)]
+    rows += [(c, t, "user", "deep" if t < 290 else str(c)) for c in range(520, 560, 5) for t in range(295)]
+    rows += [(600, None, None, None), (600, 1, "a", "b"), (600, 1, "a", "a"), (600, 1, "a", "b"), (601, None, "x", "ü" * 30000)]
+    rows += [(None, 1, "user", "no conversation"), (703, 0, "user", "short"), (704, 0, "user", "")]
+    return rows
+
+
+@pytest.mark.parametrize("shards", [1, 2, 13, 64])
+def test_any_number_of_shards(spark, shards):
+    rows = odd_rows()
+    docs = spark.createDataFrame([(*r, "p", 1) for r in rows], SCHEMA).repartition(5)
+    assert found(T.conversation_trie(docs, shards)) == ordered(plain_trie(plain_paths(rows)))
+
+
+def test_short_splitters_and_small_pieces(spark, monkeypatch):
+    """Borders cut after one turn, and ids handed on one by one, change nothing."""
+    for name, value in (("SPLITTER_TURNS", 1), ("ENDS_BYTES", 1), ("ROWS", 1)):
+        monkeypatch.setattr(T, name, value)
+    rows = odd_rows()
+    docs = spark.createDataFrame([(*r, "p", 1) for r in rows], SCHEMA).repartition(3)
+    assert found(T.conversation_trie(docs, 20)) == ordered(plain_trie(plain_paths(rows)))
+
+
+def test_borders_split_a_hot_path(spark):
+    paths = spark.createDataFrame([(k, bytearray(b"p" * 16)) for k in range(1000)], "conv_id bigint, path binary")
+    borders = T.splitters_of(paths, 10)
+    assert len(borders) == 9 and {p for p, _ in borders} == {b"p" * 16} and len({c for _, c in borders}) == 9
+
+
+def test_shared_turns():
+    names = [bytes([k]) * 16 for k in range(40)]
+    for n in range(40):
+        a, b = b"".join(names), b"".join(names[:n]) + b"z" * 16
+        assert T.shared_turns(a, b) == T.shared_turns(b, a) == n
+
+
+def test_sql_on_the_whole_table(spark):
+    assert compare(spark, connect(SF), "op12_conversation_trie", SF).startswith("ok ")
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    docs = spark.read.parquet(f"{SF}/conversations.parquet")
+    assert found(T.conversation_trie(docs)) == ordered(plain_trie(plain_paths(rows)))
+
+
+def test_empty_table(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    assert T.conversation_trie(spark.createDataFrame([], schema)).count() == 0
+    assert T.conversation_trie(spark.createDataFrame([(None, 1, "a", "b")], schema)).count() == 0
