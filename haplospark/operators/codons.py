@@ -18,15 +18,15 @@ def codon_number(annotation: Column) -> Column:
     return joined_digits(change)
 
 
-def mutation_codons(annotations: DataFrame) -> DataFrame:
-    """Distinct (``NUC_SUB``, ``CODON``) pairs; a substitution may have several codons."""
+def codon_columns() -> tuple[Column, Column]:
+    """``NUC_SUB`` and ``CODON`` of rows with ref, pos, alt and info_ANN."""
+    position = F.col("pos").try_cast("bigint")
     return (
-        annotations.select(
-            nucleotide_label(
-                F.col("ref"), F.col("pos").try_cast("bigint"), F.col("alt")
-            ).alias("NUC_SUB"),
-            codon_number(F.col("info_ANN")).alias("CODON"),
-        )
-        .dropna("any")
-        .distinct()
+        nucleotide_label(F.col("ref"), position, F.col("alt")).alias("NUC_SUB"),
+        codon_number(F.col("info_ANN")).alias("CODON"),
     )
+
+
+def mutation_codons(annotations: DataFrame) -> DataFrame:
+    """Distinct (``NUC_SUB``, ``CODON``) pairs; a substitution may have several codons."""
+    return annotations.select(*codon_columns()).dropna("any").distinct()

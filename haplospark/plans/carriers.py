@@ -209,8 +209,8 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def annotation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Annotations of each position as a whole file; some files miss a needed column.
+def annotation_files(spark: SparkSession, sf_dir: str, complete: bool = False) -> DataFrame:
+    """Annotations of each position as a whole file; unless ``complete``, some miss a needed column.
 
     A position has one reference base, three alternatives and two annotations at most, so a
     file has no more than six distinct lines.
@@ -221,7 +221,7 @@ def annotation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         swapped, F.concat_ws("\t", "info_ANN", F.lit("PASS"), "alt", "ref", "pos")
     ).otherwise(F.concat_ws("\t", "pos", "ref", "alt", "info_ANN"))
     header = (
-        F.when(by_position % 14 == 3, "\t".join(["pos", "ref", "other", "info_ANN"]))
+        F.when((by_position % 14 == 3) & F.lit(not complete), "\t".join(["pos", "ref", "other", "info_ANN"]))
         .when(swapped, "\t".join(["info_ANN", "filter", "alt", "ref", "pos"]))
         .otherwise("\t".join(["pos", "ref", "alt", "info_ANN"]))
     )

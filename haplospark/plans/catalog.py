@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
-from haplospark.functions.keys import with_defline_key, with_file_key, without_file_key
+from haplospark.functions.keys import file_name, with_defline_key, with_file_key, without_file_key
 from haplospark.functions.labels import (
     amino_acid_label,
     mutation_flags,
@@ -23,13 +23,26 @@ from haplospark.operators.duplicates import duplicate_keys
 from haplospark.operators.ranking import name_haplotypes
 from haplospark.operators.spans import amplicon_name, amplicon_spans
 from haplospark.operators.summary import contig_ids, mutation_lists, summarize_contigs
-from haplospark.plans import carriers
-from haplospark.plans.report import haplotype_report, with_depth
-from haplospark.scratch import scratch_folder, settle
+from haplospark.plans import carriers, trees
+from haplospark.plans.report import haplotype_report, run_report, with_depth
+from haplospark.plans.runs import read_output
+from haplospark.scratch import materialize, remove_files, scratch_folder, settle
 from haplospark.sources.annotations import annotations_of_files
+from haplospark.sources.digests import redundant_files
 from haplospark.sources.fasta import deflines_of_files, undecodable_of_files
-from haplospark.sources.stage import stage, with_signal, write_stage
-from haplospark.sources.variants import variants_of_files
+from haplospark.sources.files import find_files
+from haplospark.sources.layout import numbered_as_written, read_region, write_bucketed, write_clustered
+from haplospark.sources.resume import stage_files
+from haplospark.sources.stage import stage, with_signal, write_report, write_stage
+from haplospark.sources.variants import (
+    IVAR_PATTERN,
+    PARSED,
+    bad_positions,
+    parse_variant_files,
+    parse_variants,
+    variants_of_files,
+)
+from haplospark.streaming.ingest import ingest_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +152,83 @@ def staged_variants(spark, sf_dir):
     return stage(spark, path, lambda: carriers.variants(spark, sf_dir), True, sf_dir)
 
 
+def _tree_path(spark):
+    return f"{scratch_folder(spark)}/haplospark/tree-{uuid.uuid4().hex}"
+
+
+def _late() -> Column:
+    """Half of the files, which turn up after the others."""
+    return F.xxhash64("path") % 2 == 0
+
+
+def _spoiled(files: DataFrame) -> DataFrame:
+    """The same files with one more variant each, as before a correction."""
+    line = F.lit("\nNC_045512.2\t1\tA\tC\tK\tN\tx")
+    return files.withColumn("text", F.concat("text", line))
+
+
+@query
+def ingested_variants(spark, sf_dir):
+    """A growing folder of variant tables, taken by a stream in two runs and several batches."""
+    root, taken = _tree_path(spark), _stage_path(spark)
+    files = materialize(trees.variant_tree(spark, sf_dir), "files")
+    per_batch = max(files.count() // 5, 1)
+    trees.write_tree(files.where(~_late()), root)
+    ingest_variants(spark, root, taken, files_per_batch=per_batch)
+    trees.write_tree(files.where(_late()), root)
+    return ingest_variants(spark, root, taken, files_per_batch=per_batch).distinct()
+
+
+@query
+def resumed_variants(spark, sf_dir):
+    """Variants staged from files of which half are corrected, some removed and some added later."""
+    root, path = _tree_path(spark), _stage_path(spark)
+    files = materialize(trees.variant_tree(spark, sf_dir), "files")
+    parts = F.pmod(F.xxhash64("path", F.lit(1)), F.lit(3))
+    other = files.withColumn("path", F.replace("path", F.lit("_ivar.tsv"), F.lit("-old_ivar.tsv")))
+    trees.write_tree(_spoiled(files).where(_late()).unionByName(files.where(~_late() & (parts > 0))), root)
+    trees.write_tree(other.where(parts == 1), root)
+
+    def staged(resume):
+        found = find_files(spark, root, IVAR_PATTERN)
+        return stage_files(found, path, PARSED, parse_variants, resume, sf_dir)
+
+    staged(False)
+    for folder in {r["folder"] for r in other.select(F.substring_index("path", "/", 1).alias("folder")).distinct().collect()}:
+        remove_files(spark, f"{root}/{folder}", "*-old_ivar.tsv")
+    trees.write_tree(files.where(_late() | (parts == 0)), root)
+    return staged(True).select(*S.VARIANT_COLUMNS).distinct()
+
+
+def _order_of_name() -> Column:
+    return F.regexp_extract("path", r"haplotype-(\d+)_ivar", 1).cast("bigint")
+
+
+@query
+def redundant_tables(spark, sf_dir):
+    """Variant tables of every third contig, which stand under a second name, too.
+
+    Texts of up to the median size are read whole, the others by line.
+    """
+    root = _tree_path(spark)
+    files = materialize(trees.variant_tree(spark, sf_dir), "files")
+    again = files.where(_order_of_name() % 3 == 0).withColumn("path", F.concat(F.lit("z/"), "path"))
+    trees.write_tree(files.unionByName(again), root)
+    size = files.agg(F.percentile_approx(F.octet_length("text"), 0.5)).first()[0]
+    found = redundant_files(find_files(spark, root, IVAR_PATTERN, size))
+    # contigs without variants are equal texts, too, and have their least path outside of z
+    return found.where(F.contains("path", F.lit("/z/"))).select(file_name(F.col("path")).alias("name")).distinct()
+
+
+@query
+def bad_cells(spark, sf_dir):
+    """Positions that are no integers: here those of contigs whose number ends in a six."""
+    files = carriers.variant_files(spark, sf_dir)
+    odd = F.replace("text", F.lit("NC_045512.2\t"), F.lit("NC_045512.2\t~"))
+    spoiled = files.withColumn("text", F.when(F.col("path").rlike("6_ivar.tsv$"), odd).otherwise(F.col("text")))
+    return bad_positions(parse_variant_files(spoiled))
+
+
 # --- keys and labels -----------------------------------------------------------------
 
 
@@ -278,6 +368,17 @@ def long_table(spark, sf_dir):
     return _long(spark, sf_dir).select(*S.LONG_COLUMNS)
 
 
+@query
+def clustered_region(spark, sf_dir):
+    """Variants at a twentieth of the positions, from a table that is clustered by them."""
+    rows = mutation_ops.label_variants(carriers.variants(spark, sf_dir)).drop(S.BAND)
+    path = _stage_path(spark)
+    write_clustered(rows, path, ["POS", S.AMPLICON, S.CONTIG_ID])
+    table = spark.read.parquet(path)
+    last = table.agg(F.max("POS")).first()[0] or 0
+    return read_region(table, start=last // 2, stop=last // 2 + last // 20)
+
+
 @query
 def staged_long_table(spark, sf_dir):
     """The long table as a report run writes it, read back."""
@@ -314,6 +415,14 @@ def contig_summary(spark, sf_dir):
     return _short(spark, sf_dir)
 
 
+@query
+def bucketed_summary(spark, sf_dir):
+    """The short table from mutations in buckets, which are read without an exchange."""
+    spans = _spans(spark, sf_dir)
+    long = write_bucketed(_long(spark, sf_dir, spans), _stage_path(spark), [S.CONTIG_ID, S.BAND], True)
+    return summarize_contigs(long, spans)
+
+
 @query
 def depth_join(spark, sf_dir):
     contigs = contig_ids(_long(spark, sf_dir))
@@ -333,7 +442,7 @@ def crude_dnds_ratio(spark, sf_dir):
 
 @query
 def haplotype_rank(spark, sf_dir):
-    return name_haplotypes(_deep(spark, sf_dir)).select(
+    return name_haplotypes(materialize(_deep(spark, sf_dir), "deep")).select(
         S.HAPLOTYPE, S.CONTIG_ID, S.DEPTH, *S.SPAN_COLUMNS
     )
 
@@ -350,3 +459,22 @@ def selection_signal_bands(spark, sf_dir):
         .groupBy(S.AMPLICON, S.SIGNAL)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+
+
+@query
+def report_from_files(spark, sf_dir):
+    """A whole run over a results folder, read back from what it published."""
+    root, out = _tree_path(spark), _stage_path(spark)
+    trees.write_tree(trees.results_tree(spark, sf_dir), root)
+    run_report(spark, root, f"{root}/primers.bed", out)
+    return _rounded(read_output(spark, out, "final_report").select(*S.REPORT_COLUMNS))
+
+
+@query
+def ordered_report_files(spark, sf_dir):
+    """The report written in files of few rows; rows numbered as the files are read by name."""
+    path = _stage_path(spark)
+    report = _report(spark, sf_dir)
+    write_report(report, path, file_rows=250)
+    written = spark.read.parquet(path)
+    return numbered_as_written(written).select(S.HAPLOTYPE, S.SAMPLE, S.START, S.DEPTH, "number")

@@ -197,7 +197,25 @@ ORACLE: dict[str, str] = {
            WHERE t.sample <> 'S1' AND h."Contig" IS NOT NULL)"""
     ),
     "staged_variants": _with(_VARIANTS),
+    "ingested_variants": _with(_VARIANTS),
+    "resumed_variants": _with(_VARIANTS),
     "variants_projection": _with(_VARIANTS),
+    "redundant_tables": _with(
+        """SELECT "Sample ID" || '_' || "Amplicon" || '_' || "Contig" || '_ivar.tsv' AS name
+           FROM contigs WHERE o_orderkey % 3 = 0"""
+    ),
+    "bad_cells": _with(
+        """SELECT 'file:/run%20' || ("POS" // 65536) || '/' || "Sample ID" || '_' || "Amplicon" || '_'
+                      || "Contig" || '_ivar.tsv' AS path,
+                  'POS = ~' || "POS" AS line, 'not an integer' AS reason
+           FROM variants WHERE "Contig" LIKE '%6' AND "POS" IS NOT NULL"""
+    ),
+    "clustered_region": _with(
+        """SELECT "REGION", "POS", "REF", "ALT", "REF_AA", "ALT_AA", "Amplicon", "Sample ID", "Contig",
+                  "Amplicon-Sample-Contig", "NUC_SUB"
+           FROM variants, (SELECT max(l_partkey) AS last FROM lineitem)
+           WHERE "POS" BETWEEN last // 2 AND last // 2 + last // 20"""
+    ),
     "path_tokens": _with(
         """SELECT o_orderkey, "Amplicon" || '_r2' AS "Amplicon",
                   "Sample ID" || '+x' AS "Sample ID", "Contig",
@@ -280,6 +298,7 @@ ORACLE: dict[str, str] = {
            FROM lists"""
     ),
     "contig_summary": _with(f"SELECT {_SHORT} FROM short"),
+    "bucketed_summary": _with(f"SELECT {_SHORT} FROM short"),
     "depth_join": _with(
         """SELECT c."Amplicon-Sample-Contig", c."Amplicon", c."Sample ID", d."Depth of Coverage"
            FROM contigs c JOIN (SELECT DISTINCT * FROM depths) d USING ("Amplicon-Sample-Contig")
@@ -296,6 +315,14 @@ ORACLE: dict[str, str] = {
                   "Amplicon", "Start Position", "Stop Position" FROM ranked"""
     ),
     "haplotype_report_table": _with(f"SELECT {_REPORT} FROM ranked"),
+    "report_from_files": _with(f"SELECT {_REPORT} FROM ranked"),
+    "ordered_report_files": _with(
+        """SELECT "Haplotype", "Sample ID", "Start Position", "Depth of Coverage",
+                  row_number() OVER (ORDER BY "Sample ID" ASC NULLS FIRST, "Start Position" ASC NULLS FIRST,
+                      "Depth of Coverage" DESC NULLS FIRST, "Nonsyn count" DESC NULLS FIRST,
+                      "Haplotype" ASC NULLS FIRST) AS number
+           FROM ranked"""
+    ),
     "selection_signal_bands": _with(
         """SELECT "Amplicon",
                   CASE WHEN "Crude dN/dS Ratio" < 1 THEN 'purifying'

@@ -48,10 +48,27 @@ def cleared_scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         paths = _written.get()
         _written.reset(token)
-        files = spark.sparkContext._jvm.org.apache.hadoop.fs
         for path in paths:
-            place = files.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            delete_folder(spark, path)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system of a path, and the path as it takes it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written; nothing happens if it is not there."""
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
+def remove_files(spark: SparkSession, folder: str, pattern: str) -> None:
+    """Delete the files of a folder that this library has written, those that match a pattern."""
+    files, place = file_system(spark, f"{folder}/{pattern}")
+    for status in files.globStatus(place) or []:
+        files.delete(status.getPath(), False)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -86,7 +103,13 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Dat
 
 def settle(df: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """A lookup table written once, its size added up on the way, then as above."""
+    return settle_sized(df, label, max_bytes)[0]
+
+
+def settle_sized(df: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The same, and whether it is marked for broadcast."""
     size = Observation()
     measured = df.observe(size, F.sum(_row_bytes(df)).alias("bytes"))
     written = materialize(measured, label)
-    return F.broadcast(written) if (size.get["bytes"] or 0) <= max_bytes else written
+    bounded = (size.get["bytes"] or 0) <= max_bytes
+    return (F.broadcast(written) if bounded else written), bounded
