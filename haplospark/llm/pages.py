@@ -5,11 +5,18 @@ sidebars, notices, adverts, forms and comments count for nothing, and so does th
 links; where a page marks its article, so does everything outside. Lengths are then summed
 over sliding windows of lines. A surge is a window that reaches the threshold, a dive the
 next one that falls to nothing; the lines between are the text. With a marked article any
-length is a surge, without one it takes ``SURGE`` characters.
+length is a surge. Without one it takes ``SURGE`` characters, or any length where no window of
+the page has as many; other lines of an element in which a window surged belong to it, however
+short, also behind a gap.
+
+An element is furniture by its kind, or by a word of its class, id or role: one of ``MARKS``, or
+one put together of these and of ``PLACES`` only. Other compounds, such as ``related-work``,
+say nothing. Paragraphs and headings go by class and role, as their ids are anchors.
 
 Defined cases: null, empty and text-free pages have an empty text; unclosed elements end
-with their parents, a dropped one at the latest where an article starts; a page without any
-markup is one block; null or repeated ids each give a row.
+with their parents, a dropped one at the latest where an article starts, a dropped paragraph or
+heading at the next block; a page without any markup is one block; null or repeated ids each
+give a row.
 """
 
 from __future__ import annotations
@@ -46,14 +53,21 @@ MARKS = {
     "header", "masthead", "footer", "comment", "comments", "disqus", "replies", "form", "login", "search",
     "pagination", "pager", "toolbar", "complementary", "contentinfo", "skip",
 }
-CONTAINERS = {"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p"}
+#: Words that say where furniture stands, or of what form it is.
+PLACES = {
+    "area", "bar", "bottom", "box", "container", "global", "inner", "inline", "item", "left", "link", "links", "list",
+    "main", "outer", "page", "post", "posts", "primary", "reader", "right", "secondary", "section", "site", "slot",
+    "text", "thread", "top", "unit", "user", "wrap", "wrapper",
+}
+KEPT = {"html", "body", "article", "main"}
+LEAVES = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*+)"
     r"(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>",
     re.DOTALL,
 )
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.IGNORECASE)
+_NAMED = re.compile(r"(?:^|(?<=\s))(class|id|role)\s*=\s*(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.IGNORECASE)
 _PARTS = re.compile(r"[A-Za-z]+|\d+")
 
@@ -61,25 +75,40 @@ _PARTS = re.compile(r"[A-Za-z]+|\d+")
 def _is_furniture(name: str, attributes: str, in_main: bool) -> bool:
     if name in FURNITURE:
         return not (name == "header" and in_main)
-    if not attributes or name in CONTAINERS:
+    if not attributes or name in KEPT:
         return False
     if _HIDDEN.search(attributes):
         return True
-    return any(
-        part.lower() in MARKS
-        for values in _NAMED.findall(attributes)
-        for value in values
-        for part in _PARTS.findall(value)
-    )
+    for kind, *values in _NAMED.findall(attributes):
+        if kind.lower() == "id" and name in LEAVES:
+            continue
+        for word in "".join(values).split():
+            parts = [part.lower() for part in _PARTS.findall(word)]
+            if MARKS.intersection(parts) and all(p in MARKS or p in PLACES or p.isdigit() for p in parts):
+                return True
+    return False
 
 
 class _Lines:
-    """Collects blocks as (text, length that counts, inside a marked article)."""
+    """Collects blocks as (text, length that counts, element around it, inside a marked article)."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.parts: list[str] = []
-        self.linked = self.links = self.mains = 0
+        self.linked = self.links = self.mains = self.elements = 0
+        self.open: list[tuple[str, int]] = [("", 0)]
+
+    def enter(self, name: str) -> None:
+        """An element that holds blocks begins."""
+        self.elements += 1
+        self.open.append((name, self.elements))
+
+    def leave(self, name: str) -> None:
+        """It ends, and with it what was left open inside."""
+        for at in range(len(self.open) - 1, max(len(self.open) - 100, 0), -1):
+            if self.open[at][0] == name:
+                del self.open[at:]
+                return
 
     def add(self, text: str) -> None:
         text = entities.unescape(text)
@@ -90,16 +119,16 @@ class _Lines:
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, max(len(text) - self.linked, 0), self.mains > 0))
+            self.lines.append((text, max(len(text) - self.linked, 0), self.open[-1][1], self.mains > 0))
         self.parts, self.linked, self.links = [], 0, 0
 
     def gap(self) -> None:
         """Empty lines, wide enough that window sums fall to nothing."""
         self.end_block()
-        self.lines.extend([("", 0, False)] * WINDOW)
+        self.lines.extend([("", 0, -1, False)] * WINDOW)
 
 
-def page_lines(html: str) -> tuple[list[tuple[str, int]], bool]:
+def page_lines(html: str) -> tuple[list[tuple[str, int, int]], bool]:
     """Lines of a page, and whether it marks its article; if so, others are empty."""
     out, marked = _Lines(), False
     dropped, depth, nested, at = "", 0, 0, 0
@@ -115,6 +144,8 @@ def page_lines(html: str) -> tuple[list[tuple[str, int]], bool]:
             if end or name in ("script", "style"):
                 at = end.start() if end else len(html)
             continue
+        if dropped in LEAVES and name in BLOCKS and not (closing and name == dropped):
+            dropped = ""  # a paragraph ends where another block starts or its parent ends
         if dropped:
             if name == dropped:
                 depth += -1 if closing else 1
@@ -141,6 +172,8 @@ def page_lines(html: str) -> tuple[list[tuple[str, int]], bool]:
                 out.mains = max(out.mains - 1, 0)
             elif name in BLOCKS:
                 out.end_block()
+                if name not in LEAVES:
+                    out.leave(name)
         elif name in MAIN and not _is_furniture("div", attributes, False):
             out.gap()
             out.mains, marked = out.mains + 1, True
@@ -158,24 +191,31 @@ def page_lines(html: str) -> tuple[list[tuple[str, int]], bool]:
             out.links += 1
         elif name in BLOCKS:
             out.end_block()
+            if name not in LEAVES and name not in VOID:
+                out.enter(name)
     if not dropped:
         out.add(html[at:])
     out.end_block()
-    return [(text, size) if inside or not marked else ("", 0) for text, size, inside in out.lines], marked
+    return [(t, size, where) if inside or not marked else ("", 0, -1) for t, size, where, inside in out.lines], marked
+
 
+def text_between(lines: list[tuple[str, int, int]], surge: int, window: int = WINDOW) -> list[str]:
+    """Texts of the lines from each surge of the window sums to the next dive.
 
-def text_between(lines: list[tuple[str, int]], surge: int, window: int = WINDOW) -> list[str]:
-    """Texts of the lines from each surge of the window sums to the next dive."""
-    sizes = [size for _, size in lines] + [0] * window
-    total, inside, kept = sum(sizes[:window]), False, []
-    for at, (text, size) in enumerate(lines):
-        if not inside and size and total >= surge:
+    Lines of an element in which a window surged are a surge of their own.
+    """
+    sizes = [size for _, size, _ in lines] + [0] * window
+    sums = [sum(sizes[at : at + window]) for at in range(len(lines))]
+    least = surge if max(sums, default=0) >= surge else 1
+    surged = {where for (_, size, where), total in zip(lines, sums, strict=True) if size and total >= least}
+    inside, kept = False, []
+    for (text, size, where), total in zip(lines, sums, strict=True):
+        if not inside and size and (total >= least or where in surged):
             inside = True
         if inside and not total:
             inside = False
         if inside and text:
             kept.append(text)
-        total += sizes[at + window] - size
     return kept
 
 

@@ -59,7 +59,24 @@ def test_markup_in_scripts_comments_and_attributes():
 
 def test_line_blocks():
     lines = [("nav", 3), ("", 0), ("", 0), ("", 0), ("long" * 30, 120), ("x", 1), ("y" * 30, 30), ("", 0), ("", 0), ("", 0), ("foot", 4)]
-    assert pages.text_between(lines, 80) == ["long" * 30, "x", "y" * 30]
+    assert pages.text_between([(*line, k) for k, line in enumerate(lines)], 80) == ["long" * 30, "x", "y" * 30]
+
+
+def test_words_of_classes():
+    """Whole words and compounds of nothing else; text below a compound of other words stays."""
+    long = PARAGRAPHS[4]
+    inside = f"""<article><div class="research-form-content"><p>{long}</p></div><div id="related-work">Earlier.</div>
+        <p class="advert">Buy now</p><p class="notice">Beware<p>Next.</p><h2 class="promo">Offer</h2><h2 id="comments">On them</h2>
+        <div class="lead cookie-notice"><p>Cookies</p></div><div class="ad-slot-3">Buy</div><div class="post text">Last.</div></article>"""
+    assert pages.main_text(page(inside)) == "\n".join([long, "Earlier.", "Next.", "On them", "Last."])
+
+
+def test_unmarked_pages_that_are_short_or_broken_by_adverts():
+    assert pages.main_text(page("<div><p>One short paragraph.</p></div>")) == "One short paragraph."
+    ad = "<div class='ad'>Buy now, and buy a lot of it, as it is good to have for you and for all others.</div>"
+    body = f"<div><p>Short start.</p>{ad}<p>{PARAGRAPHS[5]}</p>{ad}<p>{PARAGRAPHS[6]}</p>{ad}<p>Short end.</p></div>"
+    expected = ["Short start.", PARAGRAPHS[5], PARAGRAPHS[6], "Short end."]
+    assert pages.main_text(page(body, after=AFTER + "<div>Powered by it</div>")) == "\n".join(expected)
 
 
 def test_odd_rows(spark):
