@@ -1,22 +1,26 @@
-"""Removal of multi-line passages that occur elsewhere, by content-defined chunks.
-
-The lines of a text are hashed, and a rolling hash over the last ``REACH`` line hashes says
-where a chunk ends: where it is divisible by ``DIVISOR`` and the chunk has two lines. Boundaries depend on nearby
-lines alone, so inserted or missing lines shift none beyond their surroundings. A line of
-more than ``LONG_WORDS`` words is a passage by itself and has a boundary on either side.
-
-Chunks of two lines or more, or of one long line, and of ``LEAST_WORDS`` words at least are
-counted over all documents. Of one that occurs again, the first occurrence stays: in the
-smallest doc_id (null last), then text hash, then place. Others go after their bytes were
-compared: chunks are grouped by their whole text as well as by hash.
-
-Three passes over the documents: hashes of chunks, texts of the repeated ones, and removal.
-Only hashes of all chunks and texts of repeated ones are shuffled; counts and first places
-are combined before they are.
-
-Defined cases: a null text has no lines and stays null, an empty one is one empty line;
-a text may end up empty; rows that repeat a doc_id and text are treated alike and, where
-they are first, both keep it; an empty table gives no rows.
+"""Removal of multi-line passages that occur elsewhere, by content-defined chunks of lines.
+
+The lines of a text that have words are hashed, and a rolling hash over the last ``REACH`` line
+hashes says where a chunk ends: wherever it is not divisible by ``DIVISOR``, after ``MOST_LINES``
+lines at the latest, and on either side of a line of more than ``LONG_WORDS`` words. Boundaries
+depend on nearby lines alone, so inserted or missing lines shift none beyond their surroundings,
+and they are dense, so that a passage of few lines holds a whole chunk.
+
+Chunks are counted over all documents. Of one that occurs again, the first occurrence stays: in
+the smallest doc_id (null last), then text hash, then place. Every other is a seed, after its
+bytes were compared: chunks are grouped by their whole text as well as by hash. A seed grows
+line by line both ways, as long as the lines are those around the first occurrence, by up to
+``MOST_LINES`` each way: a passage's outermost whole chunk is no further from its ends. What has
+grown to two lines, or is one long line, is a repeat. Runs of repeats go if they have
+``LEAST_WORDS`` words; a text without a line that is left is emptied.
+
+Three passes over the documents: hashes of chunks, texts of the repeated ones with the hashes (128
+bits) of the lines around them, and removal. Only hashes of all chunks and texts of repeated ones
+are shuffled; counts and first places are combined before they are.
+
+Defined cases: a null text stays null; blank lines are not compared, and go within repeats only
+or where nothing else is left; rows that repeat a doc_id and text are treated alike and, where
+they are first, both keep it; columns may have any names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,13 +35,14 @@ from haplospark.llm.common import map_batches, short_batches
 from haplospark.scratch import materialize, settle
 
 REACH = 2
-DIVISOR = 4
-LEAST_LINES = 2
+DIVISOR = 8
+MOST_LINES = 8
 LONG_WORDS = 50
 LEAST_WORDS = 10
 #: Most bytes of first occurrences that are broadcast.
 FIRSTS_BYTES = 8 << 20
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+_DIGEST = 16
 
 
 def boundaries(hashes: list[int], long: list[bool]) -> list[int]:
@@ -54,180 +59,202 @@ def boundaries(hashes: list[int], long: list[bool]) -> list[int]:
         if long[k] and k and (not ends or ends[-1] != k):
             ends.append(k)
         start = ends[-1] if ends else 0
-        if long[k] or ((rolled >> 32) % DIVISOR == 0 and k + 1 - start >= LEAST_LINES):
+        if long[k] or (rolled >> 32) % DIVISOR or k + 1 - start >= MOST_LINES:
             ends.append(k + 1)
     if hashes and (not ends or ends[-1] != len(hashes)):
         ends.append(len(hashes))
     return ends
 
 
-def chunks(raw: bytes) -> list[tuple[int, int, int, bool]]:
-    """First line, line after the last, words, and whether the chunk takes part."""
-    lines = raw.split(b"\n")
-    words = [len(line.split()) for line in lines]
-    long = [n > LONG_WORDS for n in words]
-    found, start = [], 0
-    for stop in boundaries([xxhash.xxh64_intdigest(line) for line in lines], long):
-        total = sum(words[start:stop])
-        takes_part = total >= LEAST_WORDS and (stop - start >= LEAST_LINES or long[start])
-        found.append((start, stop, total, takes_part))
-        start = stop
-    return found
-
-
-def chunk_text(lines: list[bytes], start: int, stop: int) -> bytes:
-    return b"\n".join(lines[start:stop])
-
-
-_HASHES = pa.schema([(c, pa.int64()) for c in ("h1", "h2")] + [("first", pa.int32())])
+class Lines:
+    """The lines of a text that have words, and their chunks."""
+
+    def __init__(self, raw: bytes):
+        self.all = raw.split(b"\n")
+        counts = [len(line.split()) for line in self.all]
+        self.places = [k for k, n in enumerate(counts) if n]
+        self.full = [self.all[k] for k in self.places]
+        self.words = [counts[k] for k in self.places]
+        self.ends = boundaries([xxhash.xxh3_64_intdigest(line) for line in self.full], [n > LONG_WORDS for n in self.words])
+
+    def chunks(self) -> list[tuple[int, int]]:
+        """First line and line after the last, among those with words."""
+        return list(zip([0, *self.ends[:-1]], self.ends, strict=False))
+
+    def text(self, start: int, stop: int) -> bytes:
+        return b"\n".join(self.full[start:stop])
+
+    def around(self, start: int, stop: int) -> tuple[bytes, bytes]:
+        """Hashes of the lines before, the nearest first, and of those behind."""
+        before = self.full[max(start - MOST_LINES, 0) : start][::-1]
+        behind = self.full[stop : stop + MOST_LINES]
+        return b"".join(map(xxhash.xxh3_128_digest, before)), b"".join(map(xxhash.xxh3_128_digest, behind))
+
+    def grown(self, start: int, stop: int, before: bytes, behind: bytes) -> tuple[int, int]:
+        """A seed's lines and those next to it that are alike."""
+        low, high = start, stop
+        for at in range(0, len(before), _DIGEST):
+            if not low or xxhash.xxh3_128_digest(self.full[low - 1]) != before[at : at + _DIGEST]:
+                break
+            low -= 1
+        for at in range(0, len(behind), _DIGEST):
+            if high == len(self.full) or xxhash.xxh3_128_digest(self.full[high]) != behind[at : at + _DIGEST]:
+                break
+            high += 1
+        return low, high
+
+    def without(self, repeats: list[tuple[int, int]]) -> tuple[bytes, int]:
+        """The text without runs of the given repeats, and how many lines went."""
+        covered = [False] * (len(self.full) + 1)
+        for low, high in repeats:
+            if high - low > 1 or self.words[low] > LONG_WORDS:
+                covered[low:high] = [True] * (high - low)
+        gone, start = set(), 0
+        for k, inside in enumerate(covered):
+            if inside:
+                continue
+            if sum(self.words[start:k]) >= LEAST_WORDS:
+                gone.update(range(self.places[start], self.places[k - 1] + 1))
+            start = k + 1
+        if not gone:
+            return b"\n".join(self.all), 0
+        kept = [line for k, line in enumerate(self.all) if k not in gone]
+        if not any(line.split() for line in kept):
+            return b"", len(self.all)
+        return b"\n".join(kept), len(gone)
 
 
 def _hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row per chunk that takes part: its document's columns, 128 bits of hash, its place."""
+    """A row per chunk: its document's key, 128 bits of hash, its place."""
     rows, hashes, places = [], [], []
-    for k, text in enumerate(batch.column(batch.num_columns - 1)):
+    for k, text in enumerate(batch.column(1)):
         raw = text.as_py()
         if raw is None:
             continue
-        lines = raw.split(b"\n")
-        for start, stop, _, takes_part in chunks(raw):
-            if takes_part:
-                rows.append(k)
-                hashes.append(xxhash.xxh3_128_digest(chunk_text(lines, start, stop)))
-                places.append(start)
-    kept = batch.take(pa.array(rows, pa.int64())).columns[:-1]
+        lines = Lines(raw)
+        for start, stop in lines.chunks():
+            rows.append(k)
+            hashes.append(xxhash.xxh3_128_digest(lines.text(start, stop)))
+            places.append(start)
+    keys = batch.column(0).take(pa.array(rows, pa.int64()))
     both = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-    columns = [*kept, pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(places, pa.int32())]
-    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "h1", "h2", "first"])
+    columns = [keys, pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(places, pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, ["_key", "h1", "h2", "place"])
 
 
 def _texts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row per wanted chunk with its text; the last columns are the bytes and the places."""
-    rows, texts, places = [], [], []
-    for k, (raw, wanted) in enumerate(zip(batch.column("_bytes"), batch.column("_wanted"), strict=True)):
-        raw, wanted = raw.as_py(), set(wanted.as_py())
-        lines = raw.split(b"\n")
-        for start, stop, _, _ in chunks(raw):
+    """A row per wanted chunk with its text and the hashes around it."""
+    rows, found = [], []
+    for k, (raw, wanted) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
+        lines, wanted = Lines(raw.as_py()), set(wanted.as_py())
+        for start, stop in lines.chunks():
             if start in wanted:
                 rows.append(k)
-                texts.append(chunk_text(lines, start, stop))
-                places.append(start)
-    kept = batch.take(pa.array(rows, pa.int64())).columns[:-2]
-    columns = [*kept, pa.array(places, pa.int32()), pa.array(texts, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "first", "chunk"])
-
-
-def without_chunks(raw: bytes, unwanted: set[int]) -> tuple[bytes, int]:
-    """The text without the chunks that start at the given lines, and how many lines went."""
-    lines, kept, gone = raw.split(b"\n"), [], 0
-    for start, stop, _, _ in chunks(raw):
-        if start in unwanted:
-            gone += stop - start
-        else:
-            kept.extend(lines[start:stop])
-    return b"\n".join(kept), gone
+                found.append((start, lines.text(start, stop), *lines.around(start, stop)))
+    keys = batch.column(0).take(pa.array(rows, pa.int64()))
+    columns = zip(*found, strict=True) if found else ((),) * 4
+    kinds = [pa.int32()] + [pa.binary()] * 3
+    return pa.RecordBatch.from_arrays(
+        [keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["_key", "place", "chunk", "before", "behind"]
+    )
 
 
 def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    texts, lines = [], []
-    for raw, unwanted in zip(batch.column("_bytes"), batch.column("_unwanted"), strict=True):
-        raw, unwanted = raw.as_py(), unwanted.as_py()
-        kept, gone = without_chunks(raw, set(unwanted)) if raw is not None and unwanted else (raw, 0)
-        texts.append(kept)
-        lines.append(gone)
-    columns = [*batch.columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64())]
+    texts, gone = [], []
+    for raw, seeds in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1), strict=True):
+        raw, seeds = raw.as_py(), seeds.as_py()
+        n = 0
+        if raw is not None and seeds:
+            lines = Lines(raw)
+            stops = dict(lines.chunks())
+            raw, n = lines.without([lines.grown(s["place"], stops[s["place"]], s["before"], s["behind"]) for s in seeds])
+        texts.append(raw)
+        gone.append(n)
+    columns = [*batch.columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(gone, pa.int64())]
     return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-2], "_text", "_gone"])
 
 
-def _key(documents: DataFrame) -> Column:
+def _key(doc_id: Column, text: Column) -> Column:
     """What tells documents apart and puts them in order."""
-    text = documents["text"]
-    return F.struct(
-        documents["doc_id"].isNull().alias("none"), documents["doc_id"].alias("id"), F.xxhash64(text).alias("hash")
-    )
+    return F.struct(doc_id.isNull().alias("none"), doc_id.cast("bigint").alias("id"), F.xxhash64(text).alias("hash"))
 
 
 _KEY = "_key struct<none: boolean, id: bigint, hash: bigint>"
 
 
-def repeated_chunks(documents: DataFrame) -> DataFrame:
-    """Occurrences to remove: ``_key`` of the document and ``_unwanted``, its chunks' first lines."""
-    raw = documents["text"].cast("binary")
-    hashes = materialize(
-        map_batches(
-            documents.select(_key(documents).alias("_key"), raw.alias("_bytes")),
-            _hashed,
-            f"{_KEY}, h1 bigint, h2 bigint, first int",
-        ),
-        "chunks",
+def seeds(documents: DataFrame) -> DataFrame:
+    """``_key`` of the documents with repeated chunks, and ``_seeds``: place, and what is around the first."""
+    narrow = documents.select(
+        _key(documents["doc_id"], documents["text"]).alias("_key"), documents["text"].cast("binary").alias("_bytes")
     )
+    hashes = materialize(map_batches(narrow, _hashed, f"{_KEY}, h1 bigint, h2 bigint, place int"), "chunks")
     repeated = settle(
         hashes.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated"
     )
     places = settle(
-        hashes.join(repeated, ["h1", "h2"], "left_semi")
-        .groupBy("_key")
-        .agg(F.collect_set("first").alias("_wanted")),
+        hashes.join(repeated, ["h1", "h2"], "left_semi").groupBy("_key").agg(F.collect_set("place").alias("_wanted")),
         "places",
     )
-    wanted = documents.select(_key(documents).alias("_key"), raw.alias("_bytes")).join(places, "_key")
     texts = materialize(
-        map_batches(wanted, _texts, f"{_KEY}, first int, chunk binary"), "texts"
+        map_batches(
+            narrow.join(places, "_key").select("_key", "_bytes", "_wanted"),
+            _texts,
+            f"{_KEY}, place int, chunk binary, before binary, behind binary",
+        ),
+        "texts",
     )
     # written by itself, so that a join that shuffles can split a chunk that is everywhere
     firsts = settle(
         texts.groupBy("chunk")
-        .agg(F.min(F.struct("_key", "first")).alias("_place"), F.count(F.lit(1)).alias("_times"))
+        .agg(F.min(F.struct("_key", "place", "before", "behind")).alias("_first"), F.count(F.lit(1)).alias("_times"))
         .where("_times > 1"),
         "firsts",
         FIRSTS_BYTES,
     )
-    others = (
-        texts.join(firsts, "chunk")
-        .where(F.struct("_key", "first") != F.col("_place"))
-        .groupBy("_key")
-        .agg(F.collect_set("first").alias("_unwanted"))
-    )
-    return settle(others, "unwanted")
+    other = (F.col("_key") != F.col("_first._key")) | (F.col("place") != F.col("_first.place"))
+    seed = F.struct("place", "_first.before", "_first.behind")
+    later = texts.select("_key", "place", "chunk").join(firsts, "chunk").where(other)
+    return settle(later.groupBy("_key").agg(F.collect_set(seed).alias("_seeds")), "seeds")
 
 
-def remove_repeated_chunks(documents: DataFrame) -> DataFrame:
-    """Documents with ``text`` cut, ``n_chars`` (if there) counted anew, and ``_gone`` lines."""
+def _cut(documents: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """Documents with names by place and ``_gone`` lines, and their columns under their own names."""
     short_batches(documents.sparkSession)
-    names = [f"c{k}" for k in range(len(documents.columns))]
-    at = documents.columns.index("text")
-    unwanted = repeated_chunks(documents)
-    plain = documents.toDF(*names)
-    key = F.struct(
-        F.col(names[documents.columns.index("doc_id")]).isNull().alias("none"),
-        F.col(names[documents.columns.index("doc_id")]).alias("id"),
-        F.xxhash64(names[at]).alias("hash"),
-    )
-    others = [n for n in names if n != names[at]]
-    joined = plain.withColumn("_key", key).join(unwanted, "_key", "left")
-    fields = {f.name: f.dataType.simpleString() for f in plain.schema.fields}
+    names = {c: f"c{k}" for k, c in enumerate(documents.columns)}
+    plain = documents.toDF(*names.values())
+    text = plain[names["text"]]
+    joined = plain.withColumn("_key", _key(plain[names["doc_id"]], text)).join(seeds(documents), "_key", "left")
+    others = [f for f in plain.schema.fields if f.name != names["text"]]
     cut = map_batches(
-        joined.select(*others, F.col(names[at]).cast("binary").alias("_bytes"), "_unwanted"),
+        joined.select(*(f.name for f in others), F.col(names["text"]).cast("binary").alias("_bytes"), "_seeds"),
         _removed,
-        "".join(f"{n} {fields[n]}, " for n in others) + "_text string, _gone bigint",
+        "".join(f"{f.name} {f.dataType.simpleString()}, " for f in others) + "_text string, _gone bigint",
     )
-    columns = [
-        F.col("_text").alias("text")
-        if n == "text"
-        else F.coalesce(F.length("_text").cast(fields[c]), F.col(c)).alias(n)
-        if n == "n_chars"
-        else F.col(c).alias(n)
-        for n, c in zip(documents.columns, names, strict=True)
-    ]
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("_text")
+        if name == "n_chars":
+            kind = plain.schema[names[name]].dataType
+            return F.coalesce(F.length("_text").cast(kind), F.col(names[name]))
+        return F.col(names[name])
+
+    return cut, [column(c).alias(c) for c in documents.columns]
+
+
+def remove_repeats(documents: DataFrame) -> DataFrame:
+    """Documents with ``text`` cut, ``n_chars`` (if there) counted anew, and ``_gone`` lines."""
+    cut, columns = _cut(documents)
     return cut.select(*columns, "_gone")
 
 
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """The documents with repeated passages cut, with the columns they came with."""
-    return remove_repeated_chunks(documents).drop("_gone")
+    cut, columns = _cut(documents)
+    return cut.select(*columns)
 
 
 def line_dedup_report(documents: DataFrame) -> DataFrame:
     """Per document: doc_id, the text that stays, and how many lines went."""
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return remove_repeated_chunks(narrow).withColumnRenamed("_gone", "lines_removed")
+    return remove_repeats(narrow).withColumnRenamed("_gone", "lines_removed")

@@ -12,8 +12,8 @@ from haplospark.llm import (
     decontaminate,
     divergence,
     fertility,
+    line_chunks,
     pages,
-    passages,
     scoring,
     shards,
     simhash,
@@ -65,7 +65,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.line_dedup_report(table(spark, sf_dir, "documents"))
+    return line_chunks.line_dedup_report(table(spark, sf_dir, "documents"))
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
