@@ -30,10 +30,18 @@ def _own_folder(warehouse: str) -> str:
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; unset, one in the warehouse.
 
-    Both are out of a single machine's own folders: all executors read what one wrote.
+    Executors read what others wrote, so on a cluster the folder has to be a shared one: a
+    warehouse on a machine's own disk is taken in local mode only, and is an error elsewhere.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or _own_folder(spark.conf.get("spark.sql.warehouse.dir"))
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    master = spark.sparkContext.master
+    alone = master.startswith("local") and not master.startswith("local-cluster")
+    if not alone and ("://" not in warehouse or warehouse.startswith("file:")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _own_folder(warehouse)
 
 
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)

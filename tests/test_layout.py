@@ -1,6 +1,7 @@
 """Tables laid out for their readers: buckets, clusters, ordered files, equal files."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,5 +125,20 @@ def test_files_with_a_size_of_their_own_are_not_opened(spark, tmp_path, monkeypa
     assert hs.redundant_files(hs.find_files(spark, str(tmp_path), "*.tsv")).count() == 0
 
 
-def test_scratch_is_shared(spark):
+class _Session:
+    """What ``scratch_folder`` asks of a session."""
+
+    def __init__(self, master, warehouse, folder=None):
+        self.sparkContext = SimpleNamespace(master=master)
+        known = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
+        self.conf = SimpleNamespace(get=lambda key, *default: known[key])
+
+
+def test_scratch_is_shared_or_an_error(spark):
     assert scratch_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_folder(_Session("yarn", "file:/w", "hdfs://n/c")) == "hdfs://n/c"
+    assert scratch_folder(_Session("yarn", "s3a://b/w")).startswith("s3a://b/w/scratch-")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://h:7077"):
+        for warehouse in ("file:/w", "/w"):
+            with pytest.raises(RuntimeError, match="checkpoint"):
+                scratch_folder(_Session(master, warehouse))
