@@ -1,42 +1,13 @@
-"""The pipeline against plain versions of its stages, one after the other."""
+"""The stages of the pipeline on odd rows and columns; ``test_pipeline_copies`` has its whole run."""
 
-import public_tokenizers
-import pytest
-import tiktoken
 from pyspark.sql import functions as F
-from test_line_chunks import plain as plain_lines
-from test_simhash import plain_components, plain_fingerprint
 
 import __spark_entry__
 import corpus_pipeline
-from haplospark.llm import byte_bpe, decontaminate, fertility
 
 SF = "/root/testdata/sf0.01"
 
 
-@pytest.fixture(scope="module")
-def library():
-    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return tiktoken.Encoding(
-        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-    )
-
-
-def test_whole_run(spark, library):
-    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
-    items = [decontaminate.normalize(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    good = [(i, t) for i, t, lang in docs if fertility.judge(t.encode(), lang).kept]
-    cut = [(i, t) for i, (t, _) in plain_lines(good).items()]
-    marked = [(i, plain_fingerprint(t)) for i, t in cut]
-    alone = [(i, t) for (i, t), c in zip(cut, plain_components(marked), strict=True) if c == i]
-    clean = [(i, t) for i, t in alone if not any(item in decontaminate.normalize(t) for item in items)]
-    assert len(docs) > len(good) > len(alone) > len(clean) > 500
-    found = corpus_pipeline.run(spark, SF)
-    assert found.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids"]
-    assert {r["doc_id"]: r["ids"] for r in found.collect()} == {i: library.encode_ordinary(t) for i, t in clean}
-    assert all(r["n_tokens"] == len(r["ids"]) for r in found.collect())
-
-
 ODD = [
     (1, None, None, None, None), (2, "", "en", None, 0), (None, "text without an id " * 3, "en", "s", 1),
     (3, "twice the same row of words which is long enough to stay in", "xx", "s", 5),
@@ -59,9 +30,30 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
         assert encoded.count() == len(rows)
 
 
+def test_columns_with_clashing_names(spark):
+    """Every stage hands on all columns and their values, whatever they are called."""
+    text = " ".join(["Every stage of a pipeline hands on what it was given,", "and changes nothing else about it."] * 3)
+    rows = [(k, f"{text} {word} and {word} again, in a text that is kept.", "en", "s", 5) for k, word in enumerate(["one", "seven", "ten"])]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    names = ["_text", "ids", "n_tokens", "_simhash_text", "_gone", "_key", "a.b", "_hash", "_bytes", "id", "last", "c0"]
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    for title, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, title
+        found = after.collect()
+        assert found or title == "quality rules"
+        for row in found:
+            assert all(row[name] == f"{name} of {row['doc_id']}" for name in names), title
+    encoded = corpus_pipeline.encoding(spark, docs, SF)
+    assert encoded.columns == [*(c for c in docs.columns if c != "text"), "n_tokens", "ids"]
+    for row in map(tuple, encoded.collect()):
+        assert list(row[4 : 4 + len(names)]) == [f"{name} of {row[0]}" for name in names]
+
+
 def test_registered():
     queries = __spark_entry__.queries()
     assert queries["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and 4 <= len(corpus_pipeline.STAGES) <= 5
+    assert numbers == list(range(1, 14)) and 4 <= len(corpus_pipeline.STAGES) <= 5
     assert set(__spark_entry__.oracle_sql()) <= set(queries)

@@ -4,9 +4,9 @@ import random
 
 import public_tokenizers
 import tiktoken
+from test_line_chunks import line
+from test_line_chunks import plain as plain_lines
 from test_near_copies import plain_kept
-from test_passages import line
-from test_passages import plain as plain_lines
 
 import corpus_pipeline
 from haplospark.llm import byte_bpe, decontaminate, fertility
