@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from sys import getsizeof
 
 import pyarrow as pa
 from pyarrow import fs
@@ -21,6 +22,9 @@ WORD_GAP = r"\x20\x09-\x0D"
 #: Rows of an Arrow batch where whole documents go through Python and back.
 SHORT_BATCH = 1000
 
+#: Longest key that is remembered, and bytes of a dictionary's entry besides key and value.
+LONGEST_KEY, ENTRY_BYTES = 64, 100
+
 _shipped: set[str] = set()
 _caches: dict[str, Callable[[], None]] = {}
 
@@ -50,6 +54,34 @@ def short_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(SHORT_BATCH))
 
 
+class Remembered(dict):
+    """Values by key, each made when it is first asked for, within a bound in bytes.
+
+    When half of the bound is used, all become the older ones; of these, those that are asked for
+    again come back. Values longer than ``LONGEST_KEY`` characters of key are not kept.
+    """
+
+    def __init__(self, make: Callable, most_bytes: int):
+        super().__init__()
+        self.make, self.half = make, most_bytes // 2
+        self.older: dict = {}
+        self.used = 0
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= LONGEST_KEY:
+            size = getsizeof(key) + getsizeof(value) + ENTRY_BYTES
+            if self.used + size > self.half:
+                self.older = dict(self)
+                self.clear()
+                self.used = 0
+            self[key] = value
+            self.used += size
+        return value
+
+
 def forgets(module: str, clear: Callable[[], None]) -> None:
     """Note how to empty what a module remembers in a worker."""
     _caches[module] = clear
@@ -60,6 +92,7 @@ def _take_turn(module: str) -> None:
     for name, clear in _caches.items():
         if name != module:
             clear()
+    pa.default_memory_pool().release_unused()
 
 
 def ship(spark: SparkSession) -> None:
@@ -108,4 +141,11 @@ def map_partitions(
 ) -> DataFrame:
     """Apply a function of all batches of a partition, in order."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    module = function.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _take_turn(module)
+        yield from function(batches)
+
+    return df.mapInArrow(run, schema)

@@ -7,9 +7,9 @@ manifest names the parts and holds what lies before each: prefix sums over their
 A task writes files with names of its own and reports them when it is done, so files of an
 attempt that was lost are never read.
 
-Words are encoded by the tokenizers library and remembered: the vocabulary drops white
-space, so no token reaches over a blank or a line end, and a text's ids are those of the
-parts between them. Strings of special tokens in a text are ordinary text.
+Parts of texts are encoded by the tokenizers library and remembered: the vocabulary drops white
+space, so no token reaches over a blank or a line end, and a text's ids are those of its
+parts. The string of a special token in a text gives that token, as in the library.
 
 Defined cases: a null text is empty and has the end id alone; null doc_ids come first;
 documents of equal doc_id follow a hash of their texts; an empty table gives no part.
@@ -18,6 +18,7 @@ documents of equal doc_id follow a hash of their texts; an empty table gives no
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,52 +31,62 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from haplospark.llm.common import forgets, map_partitions, new_shared_folder, shared_file_system
+from haplospark.llm.common import Remembered, forgets, map_partitions, new_shared_folder, shared_file_system
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-#: Words a worker remembers before they become the older ones, of which those met again come
-#: back; and the longest of them.
-REMEMBERED, LONGEST = 600_000, 64
+#: Bytes that a worker remembers of parts of texts.
+PART_BYTES = 112 << 20
 _READ = 2048
 
 
+#: Letters and numbers, in lower case, of the texts below, as character classes; fixed values.
+_LETTERS, _NUMBERS = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u024f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+#: Texts of ASCII and Latin letters, which the vocabulary's normal form changes to lower case and
+#: nothing else. Left out are controls and the one letter whose lower case is two characters.
+_LATIN = re.compile("[\t-\r\x20-\x7e\u00a1-\u012f\u0131-\u017f]*")
+#: The vocabulary's own pattern for such texts.
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+", re.ASCII)
+
+
+def _byte_characters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself if it can be seen,
+    else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in seen else chr(next(others)) for b in range(256)]
+
+
 class Words:
-    """Ids of the parts of texts, as bytes; a text's unknown parts are encoded in one call."""
+    """Ids of texts, as bytes, from those of their parts.
+
+    Latin texts are cut by the vocabulary's pattern, whose parts are merged one by one. Others
+    are cut at blanks, and the words encoded as texts of their own. Texts with the string of
+    a special token are left to the library as a whole.
+    """
 
     def __init__(self, path: str):
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = id_type(self.tokenizer.get_vocab_size())
+        self.byte_characters = _byte_characters()
+        self.parts = Remembered(self._merged, PART_BYTES)
+        self.words = Remembered(self._encoded, PART_BYTES // 4)
+
+    def _merged(self, part: str) -> bytes:
+        written = "".join(map(self.byte_characters.__getitem__, part.encode()))
+        return np.array([t.id for t in self.model.tokenize(written)], self.dtype).tobytes()
 
-    def learn(self, words: list[str]) -> None:
-        """Remember the ids of words, each taken as a text of its own."""
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids, width = np.array(found.ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-        of_word = np.array(found.word_ids, np.int64)
-        cuts = (np.searchsorted(of_word, np.arange(len(words) + 1)) * width).tolist()
-        for k, word in enumerate(words):
-            self.known[word] = ids[cuts[k] : cuts[k + 1]]
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if text.isascii():
-            text = text.lower()  # the vocabulary is lower case; fewer words to remember
-        parts = text.replace("\n", " ").split(" ")
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        unknown = set(parts).difference(self.known)
-        if unknown and self.older:
-            self.known.update({w: self.older[w] for w in unknown if w in self.older})
-            unknown = unknown.difference(self.known)
-        if unknown:
-            self.learn(list(unknown))
-        written = b"".join(map(self.known.__getitem__, parts))
-        for word in unknown:
-            if len(word) > LONGEST:
-                del self.known[word]
-        return written
+        if "<" in text and any(s in text for s in self.special):
+            return self._encoded(text)
+        if _LATIN.fullmatch(text):
+            return b"".join(map(self.parts.__getitem__, _PARTS.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def id_type(vocabulary: int) -> str:

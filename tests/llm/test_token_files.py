@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from haplospark.llm import token_files
@@ -20,9 +22,7 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(PATH)
 
 
 def expected(rows, library):
@@ -72,11 +72,22 @@ def test_odd_rows_and_files(spark, library):
     assert [held.document(k)[-1] for k in range(part["docs"])] == [2] * part["docs"]
 
 
-def test_cache_that_overflows_changes_nothing(monkeypatch, library):
-    monkeypatch.setattr(token_files, "REMEMBERED", 2)
+@settings(max_examples=400, deadline=None)
+@given(st.text(max_size=60), st.text(alphabet=st.characters(max_codepoint=0x250), max_size=60), st.text(alphabet="'stlvdm aéÉ9²_<|>\n", max_size=60))
+def test_any_text(library, a, b, c):
+    words = token_files.words_of(PATH)
+    for text in (a, b, c):
+        assert np.frombuffer(words.encode(text), words.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_that_overflows_changes_nothing(monkeypatch, library):
+    monkeypatch.setattr(token_files, "PART_BYTES", 800)
     words = token_files.Words(PATH)
-    text = "one two three four one two three"
-    assert np.frombuffer(words.encode(text), words.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+    for text in ("one two three four one two three " * 3, "日本 語 日本 ひ ら " * 9):
+        for _ in range(2):
+            found = np.frombuffer(words.encode(text), words.dtype).tolist()
+            assert found == library.encode(text, add_special_tokens=False).ids
+    assert words.parts.older
 
 
 def test_wide_ids():
