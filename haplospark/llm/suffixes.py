@@ -8,7 +8,8 @@ trigger, no phrase is the start of another, and equal strings are cut alike.
    that holds a phrase which occurs once cannot repeat; all others are candidates.
 2. Candidates lie in blocks, those with the same first trigger. Blocks are counted by a name
    of 128 bits for all their bytes: windows of a block that occurs again are repeated.
-   What is left is where repeated passages begin or end, and texts next to them.
+   What is left, blocks that occur once, is where repeated passages begin or end, and next to
+   them. Only these are told back to their texts: all other candidates are repeated.
 3. Blocks that occur once, and one of every repeated block with the same first phrase, meet
    by that phrase. There, ``corpus_order`` sorts their windows as a suffix array would: by the
    rank of the rest of the phrase that the window starts in (suffix array of the dictionary),
@@ -18,8 +19,9 @@ trigger, no phrase is the start of another, and equal strings are cut alike.
    phrase with more than ``GROUP_ROWS`` such blocks, are counted by names of 128 bits each,
    added up before they are shuffled: no phrase gathers more rows in a task than that.
 
-Only names are shuffled for all documents, 8 bytes for each phrase; bytes travel for the
-blocks of step 3. A document is one value, and its repeats meet in one row.
+Texts are shuffled once, into buckets that later joins read in place. Otherwise names are
+shuffled, 8 bytes for each phrase, and the bytes of the blocks of step 3. A document is one
+value, and its repeats meet in one row.
 
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` have no windows; rows that
 repeat a doc_id and text are occurrences of their own; equal documents go whole; an empty
@@ -34,11 +36,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haplospark.llm.common import map_batches, map_partitions, short_batches
+from haplospark.llm.common import map_batches, map_partitions, new_shared_folder, short_batches
 from haplospark.scratch import materialize, settle
+from haplospark.sources.layout import write_bucketed
 
 LENGTH = 400
 GRAM, MODULUS = 16, 48
@@ -221,11 +224,7 @@ def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
         yield start, stop - start
 
 
-def _key(doc_id: Column, text: Column) -> Column:
-    return F.struct(doc_id.isNull().alias("none"), doc_id.cast("bigint").alias("id"), F.xxhash64(text).alias("hash"))
-
-
-_KEY = "key struct<none: boolean, id: bigint, hash: bigint>"
+_KEY = "k1 bigint, k2 bigint"
 
 
 def _texts(column: pa.Array) -> list[bytes]:
@@ -233,64 +232,55 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Names of the phrases of each text."""
-    texts = _texts(batch.column(1))
+    """Names of the phrases of each text; the columns are a key of two, the bytes and their copies."""
+    texts = _texts(batch.column(2))
     names = [
         np.array(phrase_names(raw, at), np.uint64).view(np.int64) for raw, at in zip(texts, triggers_of(texts), strict=True)
     ]
     sizes = np.concatenate([[0], np.cumsum([len(n) for n in names])]).astype(np.int32)
     flat = np.concatenate(names) if names else np.zeros(0, np.int64)
     column = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
-    return pa.RecordBatch.from_arrays([batch.column(0), column], ["key", "names"])
+    return pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(3), column], ["k1", "k2", "times", "names"])
 
 
 def _two(digest: bytes) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def _bare(raw: bytes, first: int, count: int) -> Iterator[tuple]:
-    """Rows for a run of windows without a phrase, those of periodic texts counted at once.
-
-    Windows that repeat among these are marked without a name, in runs; one row that stands for
-    two occurrences, and marks nothing, tells others of them.
-    """
+def _bare(raw: bytes, first: int, count: int, copies: int) -> Iterator[tuple]:
+    """Rows for a run of windows without a phrase, those of periodic texts counted at once."""
     names = [xxhash.xxh3_128_digest(raw[k : k + LENGTH]) for k in range(first, first + count)]
     times = Counter(names)
-    if len(times) < count:
-        for start, size in _runs(np.fromiter((times[n] > 1 for n in names), bool, count)):
-            yield None, None, None, first + start, size, 0
+    place = dict(zip(reversed(names), range(first + count - 1, first - 1, -1), strict=True))
     for name, n in times.items():
-        if n > 1:
-            yield None, *_two(name), first, 0, 2
-    for k, name in enumerate(names):
-        if times[name] == 1:
-            yield None, *_two(name), first + k, 1, 1
+        yield None, *_two(name), place[name], 1, n * copies
 
 
 def _cells(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Candidates: blocks with their first phrase, and windows without one, by name."""
-    texts, rows, found = _texts(batch.column(1)), [], []
-    for k, (raw, at, repeated) in enumerate(zip(texts, triggers_of(texts), batch.column(2).to_pylist(), strict=True)):
+    texts, rows, found = _texts(batch.column(2)), [], []
+    copies, numbers = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+    for k, (raw, at, copy, repeated) in enumerate(zip(texts, triggers_of(texts), copies, numbers, strict=True)):
         blocks, bare = candidates(len(raw), at, np.array(repeated or [], np.int64))
         for phrase, start, count in blocks:
             name = xxhash.xxh3_64_intdigest(raw[at[phrase] : at[phrase + 1] + GRAM])
             name -= (name >> 63) << 64
-            found.append((name, *_two(xxhash.xxh3_128_digest(raw[start : start + count - 1 + LENGTH])), start, count, 1))
+            found.append((name, *_two(xxhash.xxh3_128_digest(raw[start : start + count - 1 + LENGTH])), start, count, copy))
         for first, count in bare:
             for start in range(first, first + count, BARE):
-                found.extend(_bare(raw, start, min(BARE, first + count - start)))
+                found.extend(_bare(raw, start, min(BARE, first + count - start), copy))
         rows.extend([k] * (len(found) - len(rows)))
     columns = zip(*found, strict=True) if found else ((),) * 6
-    kinds = [pa.int64()] * 3 + [pa.int32()] * 3
-    keys = batch.column(0).take(pa.array(rows, pa.int64()))
-    names = ["key", "phrase", "h1", "h2", "start", "count", "times"]
-    return pa.RecordBatch.from_arrays([keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
+    kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.int64()]
+    keys = batch.select([0, 1]).take(pa.array(rows, pa.int64())).columns
+    names = ["k1", "k2", "phrase", "h1", "h2", "start", "count", "times"]
+    return pa.RecordBatch.from_arrays([*keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
 
 
 def _drawn(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Bytes of the wanted blocks; of those in large groups, the names of their windows."""
-    texts, rows, found = _texts(batch.column(1)), [], []
-    for k, (raw, at, wanted) in enumerate(zip(texts, triggers_of(texts), batch.column(2).to_pylist(), strict=True)):
+    texts, rows, found = _texts(batch.column(2)), [], []
+    for k, (raw, at, wanted) in enumerate(zip(texts, triggers_of(texts), batch.column(3).to_pylist(), strict=True)):
         for cell in wanted:
             start, count, phrase = cell["start"], cell["count"], cell["phrase"]
             if cell["large"]:
@@ -305,9 +295,9 @@ def _drawn(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows.append(k)
     columns = zip(*found, strict=True) if found else ((),) * 8
     kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.bool_(), pa.int32(), pa.binary()]
-    keys = batch.column(0).take(pa.array(rows, pa.int64()))
-    names = ["key", "phrase", "h1", "h2", "start", "count", "known", "cut", "bytes"]
-    return pa.RecordBatch.from_arrays([keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
+    keys = batch.select([0, 1]).take(pa.array(rows, pa.int64())).columns
+    names = ["k1", "k2", "phrase", "h1", "h2", "start", "count", "known", "cut", "bytes"]
+    return pa.RecordBatch.from_arrays([*keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names)
 
 
 _MARKS = f"{_KEY}, start int, count int"
@@ -318,143 +308,173 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     Groups are gathered until they have ``CHUNK_BYTES``; a chunk ends with a group.
     """
-    keys, places, known, texts, cuts, counts, held, last = [], [], [], [], [], [], 0, None
+    rows: list[tuple] = []
+    held, last = 0, None
 
     def solved() -> pa.RecordBatch:
-        flags, at, out = corpus_order(texts, cuts, counts), 0, []
-        for key, place, old, count in zip(keys, places, known, counts, strict=True):
+        k1, k2, places, counts, known, cuts, texts = zip(*rows, strict=True)
+        flags, at, out = corpus_order(list(texts), list(cuts), list(counts)), 0, []
+        for k, (place, old, count) in enumerate(zip(places, known, counts, strict=True)):
             if not old:
-                out.extend((key, place + start, size) for start, size in _runs(flags[at : at + count]))
+                out.extend((k1[k], k2[k], place + start, size) for start, size in _runs(flags[at : at + count]))
             at += count
-        columns = zip(*out, strict=True) if out else ((),) * 3
-        kinds = [pa.struct([("none", pa.bool_()), ("id", pa.int64()), ("hash", pa.int64())]), pa.int32(), pa.int32()]
+        columns = zip(*out, strict=True) if out else ((),) * 4
+        kinds = [pa.int64()] * 2 + [pa.int32()] * 2
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["key", "start", "count"]
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["k1", "k2", "start", "count"]
         )
 
     for batch in batches:
-        for phrase, key, start, count, old, cut, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for phrase, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if phrase != last and held > CHUNK_BYTES:
                 yield solved()
-                keys, places, known, texts, cuts, counts, held = [], [], [], [], [], [], 0
+                rows, held = [], 0
             last = phrase
-            keys.append(key)
-            places.append(start)
-            known.append(old)
-            texts.append(text)
-            cuts.append(cut)
-            counts.append(count)
-            held += len(text)
-    if texts:
+            rows.append(tuple(row))
+            held += len(row[-1])
+    if rows:
         yield solved()
 
 
-def repeated_windows(documents: DataFrame) -> DataFrame:
-    """Runs of windows that occur more than once: ``key`` of the document, ``start`` and ``count``."""
-    short_batches(documents.sparkSession)
+def distinct_texts(documents: DataFrame) -> DataFrame:
+    """``k1``, ``k2``, ``doc_id``, ``bytes`` and ``times``: every doc_id and text once, bucketed by key.
+
+    Rows that repeat are added up before they are shuffled. All later joins with documents are
+    by this key and leave the texts where they are.
+    """
     text = F.coalesce(documents["text"], F.lit("")).cast("binary")
-    docs = documents.select(_key(documents["doc_id"], documents["text"]).alias("key"), text.alias("bytes")).where(
-        F.octet_length("bytes") >= LENGTH
+    rows = documents.select(documents["doc_id"].cast("bigint").alias("doc_id"), text.alias("bytes")).select(
+        F.xxhash64("bytes").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "bytes").alias("k2"), "doc_id", "bytes"
     )
-    parsed = materialize(map_batches(docs, _parsed, f"{_KEY}, names array<bigint>"), "parsed")
-    phrases = parsed.select(F.explode("names").alias("name"))
-    again = settle(phrases.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "again")
-    numbered = parsed.select("key", F.posexplode("names").alias("number", "name")).join(again, "name", "left_semi")
-    repeated = settle(numbered.groupBy("key").agg(F.collect_set("number").alias("repeated")), "repeated")
-    cells = materialize(
-        map_batches(
-            docs.join(repeated, "key", "left").select("key", "bytes", "repeated"),
-            _cells,
-            f"{_KEY}, phrase bigint, h1 bigint, h2 bigint, start int, count int, times int",
-        ),
-        "cells",
+    once = rows.groupBy("k1", "k2").agg(
+        F.first("doc_id").alias("doc_id"), F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("times")
+    )
+    return write_bucketed(once, new_shared_folder(documents.sparkSession, "texts"), ["k1", "k2"], True)
+
+
+_CELL = ["k1", "k2", "phrase", "start", "count"]
+
+
+def candidate_cells(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct blocks and windows without a phrase, with their ``times`` and one place each, and
+    the ``repeated`` phrases of each text, which tell its candidates."""
+    docs = texts.where(F.octet_length("bytes") >= LENGTH)
+    parsed = materialize(
+        map_batches(docs.select("k1", "k2", "bytes", "times"), _parsed, f"{_KEY}, times bigint, names array<bigint>"), "parsed"
+    )
+    phrases = parsed.select("times", F.explode("names").alias("name"))
+    again = settle(phrases.groupBy("name").agg(F.sum("times").alias("n")).where("n > 1").select("name"), "again")
+    numbered = parsed.select("k1", "k2", F.posexplode("names").alias("number", "name")).join(again, "name", "left_semi")
+    repeated = _beside(numbered.groupBy("k1", "k2").agg(F.collect_set("number").alias("repeated")), "repeated")
+    cells = map_batches(
+        docs.join(repeated, ["k1", "k2"], "left").select("k1", "k2", "bytes", "times", "repeated"),
+        _cells,
+        f"{_KEY}, phrase bigint, h1 bigint, h2 bigint, start int, count int, times bigint",
     )
-    named = cells.where(F.col("h1").isNotNull())
-    several = settle(named.groupBy("h1", "h2").agg(F.sum("times").alias("n")).where("n > 1").select("h1", "h2"), "several")
-    told = named.join(several.withColumn("known", F.lit(True)), ["h1", "h2"], "left")
-    told = materialize(told.withColumn("known", F.coalesce("known", F.lit(False))), "told")
-    blocks = told.where(F.col("phrase").isNotNull())
+    # the first values of all columns are those of one row
+    places = [F.first(c).alias(c) for c in _CELL]
+    return materialize(cells.groupBy("h1", "h2").agg(F.sum("times").alias("times"), *places), "cells"), repeated
+
+
+def repeats_of_single_blocks(texts: DataFrame, cells: DataFrame) -> DataFrame:
+    """Runs of windows of blocks that occur once, which occur again in other blocks: ``k1`` and
+    ``k2`` of the text, ``start`` and ``count``."""
+    keys = ["k1", "k2"]
+    blocks = cells.where(F.col("phrase").isNotNull()).withColumn("known", F.col("times") > 1)
     single = blocks.where("NOT known")
     open_phrases = settle(single.select("phrase").distinct(), "open")
-    partners = blocks.where("known").join(open_phrases, "phrase", "left_semi").dropDuplicates(["h1", "h2"])
-    columns = ["key", "phrase", "start", "count", "known"]
-    wanted = materialize(single.select(columns).unionByName(partners.select(columns)), "wanted")
-    large = settle(
-        wanted.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP_ROWS).select("phrase", F.lit(True).alias("large")),
-        "large",
-    )
+    partners = blocks.where("known").join(open_phrases, "phrase", "left_semi")
+    wanted = materialize(single.select(*_CELL, "known").unionByName(partners.select(*_CELL, "known")), "wanted")
+    sizes = wanted.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
+    large = settle(sizes.where(F.col("n") > GROUP_ROWS).select("phrase", F.lit(True).alias("large")), "large")
     cell = F.struct("start", "count", "phrase", "known", F.coalesce("large", F.lit(False)).alias("large"))
-    by_document = settle(
-        wanted.join(large, "phrase", "left").groupBy("key").agg(F.collect_list(cell).alias("wanted")), "by-document"
-    )
+    by_text = _beside(wanted.join(large, "phrase", "left").groupBy(*keys).agg(F.collect_list(cell).alias("wanted")), "by-text")
     drawn = materialize(
         map_batches(
-            docs.join(by_document, "key").select("key", "bytes", "wanted"),
+            texts.join(by_text, keys).select(*keys, "bytes", "wanted"),
             _drawn,
             f"{_KEY}, phrase bigint, h1 bigint, h2 bigint, start int, count int, known boolean, cut int, bytes binary",
         ),
         "drawn",
     )
     groups = drawn.where(F.col("phrase").isNotNull()).repartition("phrase").sortWithinPartitions("phrase")
-    ordered = map_partitions(
-        groups.select("phrase", "key", "start", "count", "known", "cut", "bytes"), _sorted_groups, _MARKS
-    )
-    windows = drawn.where(F.col("phrase").isNull()).select("key", "h1", "h2", "start", "known")
+    ordered = map_partitions(groups.select("phrase", *keys, "start", "count", "known", "cut", "bytes"), _sorted_groups, _MARKS)
+    windows = drawn.where(F.col("phrase").isNull()).select(*keys, "h1", "h2", "start", "known")
     twice = settle(windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"), "twice")
-    one = F.lit(1).alias("count")
-    by_name = windows.where("NOT known").join(twice, ["h1", "h2"], "left_semi").select("key", "start", one)
-    whole = told.where("known AND count > 0").select("key", "start", "count")
-    periodic = cells.where(F.col("h1").isNull()).select("key", "start", "count")
-    return whole.unionByName(periodic).unionByName(ordered).unionByName(by_name)
-
-
-def _spans(raw: bytes, marks: list[dict]) -> list[tuple[int, int]]:
-    """What the marked windows cover, as runs (start, stop)."""
-    found: list[tuple[int, int]] = []
-    for mark in sorted((m["start"], m["start"] + m["count"] - 1 + LENGTH) for m in marks):
-        if found and mark[0] <= found[-1][1]:
-            found[-1] = found[-1][0], max(found[-1][1], mark[1])
-        else:
-            found.append(mark)
-    return found
+    by_name = windows.where("NOT known").join(twice, ["h1", "h2"], "left_semi").select(*keys, "start", F.lit(1).alias("count"))
+    return ordered.unionByName(by_name)
+
+
+def _beside(side: DataFrame, label: str) -> DataFrame:
+    """A written table to join with the texts, which are streamed past it unsorted."""
+    return materialize(side, label).hint("shuffle_hash")
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-    spans, kept = [], []
-    for raw, marks in zip(_texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-        own = _spans(raw, marks or [])
+    """The columns are doc_id, times, bytes, repeated phrases, and what is known of single cells.
+
+    All candidates of a text occur again but those in single cells; of these, the marked runs do.
+    """
+    texts, spans, kept = _texts(batch.column(2)), [], []
+    numbers, singles = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+    for raw, at, repeated, cells in zip(texts, triggers_of(texts), numbers, singles, strict=True):
+        blocks, bare = candidates(len(raw), at, np.array(repeated or [], np.int64))
+        again = np.zeros(max(len(raw) - LENGTH + 1, 0), bool)
+        for start, count in [*((start, count) for _, start, count in blocks), *bare]:
+            again[start : start + count] = True
+        for cell in sorted(cells or [], key=lambda cell: cell["again"]):
+            again[cell["start"] : cell["start"] + cell["count"]] = cell["again"]
+        own: list[list[int]] = []
+        for start, count in _runs(again):
+            stop = start + count - 1 + LENGTH
+            if own and start <= own[-1][1]:
+                own[-1][1] = stop
+            else:
+                own.append([start, stop])
         edges = [0, *(e for span in own for e in span), len(raw)]
         spans.append([{"start": a, "stop": b} for a, b in own])
         kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
     kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array([len(t) for t in _texts(batch.column(1))], pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())],
-        ["doc_id", "n_bytes", "spans", "kept"],
-    )
+    sizes = pa.array([len(t) for t in texts], pa.int64())
+    columns = [batch.column(0), batch.column(1), sizes, pa.array(spans, kind), pa.array(kept, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "times", "n_bytes", "spans", "kept"])
 
 
-def without_repeated_strings(documents: DataFrame) -> DataFrame:
-    """Per document: ``doc_id``, ``n_bytes``, the removed ``spans`` (start, stop) and the ``kept`` bytes."""
-    marks = settle(
-        repeated_windows(documents).groupBy("key").agg(F.collect_list(F.struct("start", "count")).alias("marks")), "marks"
-    )
-    text = F.coalesce(documents["text"], F.lit("")).cast("binary")
-    docs = documents.select(
-        _key(documents["doc_id"], documents["text"]).alias("key"), documents["doc_id"].cast("bigint").alias("doc_id"), text.alias("bytes")
-    )
+def _cut_texts(documents: DataFrame) -> DataFrame:
+    """What is left of every doc_id and text, and the ``times`` that these occur."""
+    short_batches(documents.sparkSession)
+    texts = distinct_texts(documents)
+    cells, repeated = candidate_cells(texts)
+    single = cells.where("times = 1").select("k1", "k2", "start", "count", F.lit(False).alias("again"))
+    marks = repeats_of_single_blocks(texts, cells).withColumn("again", F.lit(True))
+    told = single.unionByName(marks).groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "count", "again")).alias("told"))
     return map_batches(
-        docs.join(marks, "key", "left").select("doc_id", "bytes", "marks"),
+        texts.join(repeated, ["k1", "k2"], "left")
+        .join(_beside(told, "told"), ["k1", "k2"], "left")
+        .select("doc_id", "times", "bytes", "repeated", "told"),
         _cut,
-        "doc_id bigint, n_bytes bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary",
+        "doc_id bigint, times bigint, n_bytes bigint, spans array<struct<start: bigint, stop: bigint>>, kept binary",
     )
 
 
+def _every_row(cut: DataFrame) -> DataFrame:
+    """A row for each time that a doc_id and text occur."""
+    return cut.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).drop("_row", "times")
+
+
+def without_repeated_strings(documents: DataFrame) -> DataFrame:
+    """Per document: ``doc_id``, ``n_bytes``, the removed ``spans`` (start, stop) and the ``kept`` bytes."""
+    return _every_row(_cut_texts(documents))
+
+
 def repeated_string_report(documents: DataFrame) -> DataFrame:
     """Per document: what went and a digest of what is left."""
-    return without_repeated_strings(documents).select(
+    figures = _cut_texts(documents).select(
         "doc_id",
+        "times",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+    return _every_row(figures)
