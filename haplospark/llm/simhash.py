@@ -431,8 +431,8 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     kept = documents.join(losers, same, "left_anti")
     if marked.groupBy("_key").count().where("count > 1").isEmpty():
         return kept
-    return (
-        kept.withColumn("_simhash_text", F.xxhash64(F.coalesce("text", F.lit(""))))
-        .dropDuplicates(["doc_id", "_simhash_text"])
-        .drop("_simhash_text")
-    )
+    # names by place cannot clash with the one that is added
+    names = {c: f"c{k}" for k, c in enumerate(documents.columns)}
+    plain = kept.toDF(*names.values())
+    hashed = plain.withColumn("_hash", F.xxhash64(F.coalesce(names["text"], F.lit(""))))
+    return hashed.dropDuplicates([names["doc_id"], "_hash"]).drop("_hash").toDF(*documents.columns)
