@@ -31,12 +31,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haplospark.llm.common import forgets, map_batches, short_batches
+from haplospark.llm.common import Remembered, forgets, map_batches, short_batches
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Words that a worker remembers before they become the older ones, most token pairs, and
-#: the longest word.
-REMEMBERED, PAIRS, LONGEST = 600_000, 2_000_000, 64
+#: Bytes that a worker remembers of words and of pieces, and most token pairs.
+WORD_BYTES, PIECE_BYTES, PAIRS = 48 << 20, 128 << 20, 800_000
 #: Two white spaces in a row, or one that is neither a blank nor a line end, or one outside.
 _UNEVEN = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 
@@ -112,56 +111,35 @@ class ByteBpe:
         return ids
 
 
-class _Words(dict):
-    """Ids of words, as bytes, each with what stands before it in the text.
-
-    When it is full, its words become the older ones, of which those met again come back.
-    """
-
-    def __init__(self, bpe: ByteBpe, before: str):
-        super().__init__()
-        self.bpe, self.before = bpe, before
-        self.older: dict[str, bytes] = {}
-
-    def cut(self, word: str) -> list[str]:
-        return PATTERN.findall(self.before + word)
-
-    def __missing__(self, word: str) -> bytes:
-        written = self.older.get(word)
-        if written is None:
-            ids = array("I")
-            for piece in self.cut(word):
-                ids.extend(self.bpe.encode_piece(piece.encode()))
-            written = ids.tobytes()
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[word] = written
-        return written
-
-
-class _Pieces(_Words):
-    """The same for pieces that the pattern has cut already."""
-
-    def cut(self, piece: str) -> list[str]:
-        return [piece]
-
-
 PATTERN = regex.compile(public_tokenizers.PATTERN)
 
 
 class TextCodec:
-    """Encodes and decodes whole texts."""
+    """Encodes and decodes whole texts.
+
+    Words are remembered with the blank before them, and the pieces of words by themselves: a new
+    word is often made of known pieces.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.bpe = ByteBpe(ranks)
-        self.first, self.other, self.exact = _Words(self.bpe, ""), _Words(self.bpe, " "), _Pieces(self.bpe, "")
+        self.pieces = Remembered(self._piece, PIECE_BYTES)
+        self.first = Remembered(self._first_word, WORD_BYTES // 4)
+        self.other = Remembered(self._other_word, WORD_BYTES)
         self.decimal = [b"%d" % k for k in range(len(self.bpe.vocabulary))]
 
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.bpe.encode_piece(piece.encode())).tobytes()
+
+    def _first_word(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PATTERN.findall(word)))
+
+    def _other_word(self, word: str) -> bytes:
+        return self._first_word(" " + word)
+
     def encode(self, text: str) -> np.ndarray:
         if _UNEVEN.search(text):
-            return np.frombuffer(b"".join(map(self.exact.__getitem__, PATTERN.findall(text))), np.uint32)
+            return np.frombuffer(self._first_word(text), np.uint32)
         parts, between = [], self.first["\n"]
         for line in text.split("\n") if text else []:
             words = line.split(" ")
@@ -189,66 +167,68 @@ forgets(__name__, codec.cache_clear)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[str]:
-    return (t.as_py() or "" for t in batch.column("_text"))
+    return (t.as_py() or "" for t in batch.column(batch.num_columns - 1))
 
 
-def _with(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    kept = {n: batch.column(n) for n in batch.schema.names if n != "_text"}
-    return pa.RecordBatch.from_pydict(kept | columns)
+def _numbered(table: DataFrame, keep: tuple[Column | str, ...], last: Column) -> tuple[DataFrame, list[str], str]:
+    """The kept columns and one more with names by place, the kept ones' names, and their schema.
+
+    Names by place cannot clash, whatever the columns are called and however often.
+    """
+    kept = table.select(*keep)
+    fields = [(f"c{k}", f.name, f.dataType.simpleString()) for k, f in enumerate(kept.schema.fields)]
+    narrow = table.select(*keep, last).toDF(*(n for n, _, _ in fields), "last")
+    return narrow, [name for _, name, _ in fields], "".join(f"{n} {kind}, " for n, _, kind in fields)
 
 
-def _kept(documents: DataFrame, keep: tuple[Column | str, ...]) -> tuple[DataFrame, str]:
-    narrow = documents.select(*keep, F.col("text").alias("_text"))
-    fields = narrow.schema.fields[:-1]
-    return narrow, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+def _with(batch: pa.RecordBatch, columns: list[pa.Array]) -> pa.RecordBatch:
+    kept = batch.columns[:-1]
+    return pa.RecordBatch.from_arrays([*kept, *columns], [*batch.schema.names[:-1], *(f"d{k}" for k in range(len(columns)))])
 
 
 def encode_documents(
     documents: DataFrame, *keep: Column | str, path: str | None = None
 ) -> DataFrame:
-    """The kept columns, ``n_tokens`` and the ``ids`` of every whole text."""
+    """The kept columns, ``n_tokens`` and the ``ids`` of every whole text.
+
+    Kept columns may have any names, also these two.
+    """
     short_batches(documents.sparkSession)
     path = path or public_tokenizers.path(VOCABULARY)
-    narrow, schema = _kept(documents, keep)
+    narrow, names, schema = _numbered(documents, keep, documents["text"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = [codec(path).encode(text) for text in _texts(batch)]
         sizes = [len(i) for i in ids]
         flat = pa.array(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
         starts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        return _with(batch, {"n_tokens": pa.array(sizes, pa.int64()), "ids": pa.ListArray.from_arrays(starts, flat)})
+        return _with(batch, [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(starts, flat)])
 
-    return map_batches(narrow, run, f"{schema}, n_tokens bigint, ids array<int>")
+    return map_batches(narrow, run, f"{schema}d0 bigint, d1 array<int>").toDF(*names, "n_tokens", "ids")
 
 
 def decode_ids(tokens: DataFrame, *keep: Column | str, path: str | None = None) -> DataFrame:
     """The kept columns and the ``bytes`` that ``ids`` stand for (null: none)."""
     path = path or public_tokenizers.path(VOCABULARY)
-    narrow = tokens.select(*keep, F.col("ids").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:-1])
+    narrow, names, schema = _numbered(tokens, keep, tokens["ids"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [codec(path).decode(ids.as_py() or []) for ids in batch.column("_text")]
-        return _with(batch, {"bytes": pa.array(found, pa.binary())})
+        found = [codec(path).decode(ids) for ids in _texts(batch)]
+        return _with(batch, [pa.array(found, pa.binary())])
 
-    return map_batches(narrow, run, f"{schema}, bytes binary")
+    return map_batches(narrow, run, f"{schema}d0 binary").toDF(*names, "bytes")
 
 
 def bpe_digests(documents: DataFrame, path: str | None = None) -> DataFrame:
     """Per document: the number of ids, the hash of the ids, the hash of the text they decode to."""
     path = path or public_tokenizers.path(VOCABULARY)
-    narrow, schema = _kept(documents, ("doc_id",))
+    narrow, names, schema = _numbered(documents, ("doc_id",), documents["text"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [codec(path).digests(text) for text in _texts(batch)]
         counts, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
-        return _with(
-            batch,
-            {
-                "n_tokens": pa.array(counts, pa.int64()),
-                "ids_sha256": pa.array(ids, pa.string()),
-                "decoded_sha256": pa.array(decoded, pa.string()),
-            },
-        )
-
-    return map_batches(narrow, run, f"{schema}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        return _with(batch, [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())])
+
+    return map_batches(narrow, run, f"{schema}d0 bigint, d1 string, d2 string").toDF(
+        *names, "n_tokens", "ids_sha256", "decoded_sha256"
+    )

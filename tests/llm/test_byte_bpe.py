@@ -1,6 +1,8 @@
 """Encoding against the tiktoken library, and exact round trips."""
 
+import gc
 import hashlib
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -10,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from haplospark.llm import byte_bpe
+from haplospark.llm.common import Remembered
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id bigint, text string, ids int, n_tokens string, _text string"
@@ -51,7 +54,8 @@ def test_any_bytes(piece):
 
 
 def test_caches_that_overflow_change_nothing(library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(byte_bpe, "WORD_BYTES", 3000)
+    monkeypatch.setattr(byte_bpe, "PIECE_BYTES", 1000)
     monkeypatch.setattr(byte_bpe, "PAIRS", 3)
     codec = byte_bpe.TextCodec(byte_bpe.read_ranks(PATH))
     text = "some words that come and go and come and go again"
@@ -79,6 +83,36 @@ def test_documents_and_back(spark):
     assert len(digests) == len(rows) and np.sum([r["n_tokens"] for r in digests]) == sum(r["n_tokens"] for r in back)
 
 
+def test_memory_stays_within_its_bound():
+    """Two million words, and what is really held of them."""
+    bound, made = 20 << 20, []
+    gc.collect()
+    tracemalloc.start()
+    words = Remembered(lambda w: made.append(1) or f"{w}{w}".encode(), bound)
+    for k in range(2_000_000):
+        words[f"word number {k}"]
+        if k % 400_000 == 399_999:
+            made.clear()
+            assert tracemalloc.get_traced_memory()[0] < 1.05 * bound
+    assert tracemalloc.get_traced_memory()[1] < 1.6 * bound  # also while the older ones are replaced
+    tracemalloc.stop()
+    made.clear()
+    assert words["word number 1999999"] and words["word number 1950000"] and not made
+    assert words["x" * 100] and "x" * 100 not in words
+
+
+def test_columns_may_have_any_name(spark):
+    rows = [(1, "some text", 7, "a", "b", 2.5), (2, None, 8, None, "c", 0.5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int, ids string, `a.b` string, _text double")
+    keep = [docs[f"`{c}`"] for c in docs.columns if c != "text"]
+    tokens = byte_bpe.encode_documents(docs, *keep)
+    assert tokens.columns == ["doc_id", "n_tokens", "ids", "a.b", "_text", "n_tokens", "ids"]
+    found = [tuple(r) for r in tokens.collect()]
+    assert [r[:5] for r in sorted(found)] == [(1, 7, "a", "b", 2.5), (2, 8, None, "c", 0.5)]
+    plain = byte_bpe.encode_documents(docs, "doc_id", docs["`a.b`"])
+    assert [r[:2] for r in sorted(map(tuple, plain.collect()))] == [(1, "b"), (2, "c")]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert byte_bpe.bpe_digests(empty).count() == 0
