@@ -14,7 +14,7 @@ line by line both ways, as long as the lines are those around the first occurren
 grown to two lines, or is one long line, is a repeat. Runs of repeats go if they have
 ``LEAST_WORDS`` words; a text without a line that is left is emptied.
 
-Three passes over the documents: hashes of chunks, texts of the repeated ones with the hashes (128
+Three passes over the documents: hashes of chunks, texts of the repeated ones with the hashes (64
 bits) of the lines around them, and removal. Only hashes of all chunks and texts of repeated ones
 are shuffled; counts and first places are combined before they are.
 
@@ -42,7 +42,7 @@ LEAST_WORDS = 10
 #: Most bytes of first occurrences that are broadcast.
 FIRSTS_BYTES = 8 << 20
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
-_DIGEST = 16
+_DIGEST = 8
 
 
 def boundaries(hashes: list[int], long: list[bool]) -> list[int]:
@@ -88,20 +88,7 @@ class Lines:
         """Hashes of the lines before, the nearest first, and of those behind."""
         before = self.full[max(start - MOST_LINES, 0) : start][::-1]
         behind = self.full[stop : stop + MOST_LINES]
-        return b"".join(map(xxhash.xxh3_128_digest, before)), b"".join(map(xxhash.xxh3_128_digest, behind))
-
-    def grown(self, start: int, stop: int, before: bytes, behind: bytes) -> tuple[int, int]:
-        """A seed's lines and those next to it that are alike."""
-        low, high = start, stop
-        for at in range(0, len(before), _DIGEST):
-            if not low or xxhash.xxh3_128_digest(self.full[low - 1]) != before[at : at + _DIGEST]:
-                break
-            low -= 1
-        for at in range(0, len(behind), _DIGEST):
-            if high == len(self.full) or xxhash.xxh3_128_digest(self.full[high]) != behind[at : at + _DIGEST]:
-                break
-            high += 1
-        return low, high
+        return b"".join(map(xxhash.xxh3_64_digest, before)), b"".join(map(xxhash.xxh3_64_digest, behind))
 
     def without(self, repeats: list[tuple[int, int]]) -> tuple[bytes, int]:
         """The text without runs of the given repeats, and how many lines went."""
@@ -150,24 +137,38 @@ def _texts(batch: pa.RecordBatch) -> pa.RecordBatch:
         for start, stop in lines.chunks():
             if start in wanted:
                 rows.append(k)
-                found.append((start, lines.text(start, stop), *lines.around(start, stop)))
+                found.append((start, stop - start, lines.text(start, stop), *lines.around(start, stop)))
     keys = batch.column(0).take(pa.array(rows, pa.int64()))
-    columns = zip(*found, strict=True) if found else ((),) * 4
-    kinds = [pa.int32()] + [pa.binary()] * 3
+    columns = zip(*found, strict=True) if found else ((),) * 5
+    kinds = [pa.int32()] * 2 + [pa.binary()] * 3
     return pa.RecordBatch.from_arrays(
-        [keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["_key", "place", "chunk", "before", "behind"]
+        [keys, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["_key", "place", "lines", "chunk", "before", "behind"]
+    )
+
+
+def alike(a: bytes, b: bytes) -> int:
+    """How many lines have equal hashes before the first that has not."""
+    most = min(len(a), len(b)) // _DIGEST
+    return next((k for k in range(most) if a[k * _DIGEST : (k + 1) * _DIGEST] != b[k * _DIGEST : (k + 1) * _DIGEST]), most)
+
+
+def _grown(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Seeds with the lines next to them that are alike at the first occurrence: ``low`` and ``high``."""
+    low, high = [], []
+    for place, lines, before, behind, first_before, first_behind in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
+        low.append(place - alike(before, first_before))
+        high.append(place + lines + alike(behind, first_behind))
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["_key", "low", "high"]
     )
 
 
 def _removed(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts, gone = [], []
     for raw, seeds in zip(batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1), strict=True):
-        raw, seeds = raw.as_py(), seeds.as_py()
-        n = 0
+        raw, seeds, n = raw.as_py(), seeds.as_py(), 0
         if raw is not None and seeds:
-            lines = Lines(raw)
-            stops = dict(lines.chunks())
-            raw, n = lines.without([lines.grown(s["place"], stops[s["place"]], s["before"], s["behind"]) for s in seeds])
+            raw, n = Lines(raw).without([(s["low"], s["high"]) for s in seeds])
         texts.append(raw)
         gone.append(n)
     columns = [*batch.columns[:-2], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(gone, pa.int64())]
@@ -183,7 +184,7 @@ _KEY = "_key struct<none: boolean, id: bigint, hash: bigint>"
 
 
 def seeds(documents: DataFrame) -> DataFrame:
-    """``_key`` of the documents with repeated chunks, and ``_seeds``: place, and what is around the first."""
+    """``_key`` of the documents with repeated chunks, and ``_seeds``, the lines from ``low`` to ``high`` that these grew to."""
     narrow = documents.select(
         _key(documents["doc_id"], documents["text"]).alias("_key"), documents["text"].cast("binary").alias("_bytes")
     )
@@ -199,7 +200,7 @@ def seeds(documents: DataFrame) -> DataFrame:
         map_batches(
             narrow.join(places, "_key").select("_key", "_bytes", "_wanted"),
             _texts,
-            f"{_KEY}, place int, chunk binary, before binary, behind binary",
+            f"{_KEY}, place int, lines int, chunk binary, before binary, behind binary",
         ),
         "texts",
     )
@@ -212,9 +213,10 @@ def seeds(documents: DataFrame) -> DataFrame:
         FIRSTS_BYTES,
     )
     other = (F.col("_key") != F.col("_first._key")) | (F.col("place") != F.col("_first.place"))
-    seed = F.struct("place", "_first.before", "_first.behind")
-    later = texts.select("_key", "place", "chunk").join(firsts, "chunk").where(other)
-    return settle(later.groupBy("_key").agg(F.collect_set(seed).alias("_seeds")), "seeds")
+    around = [texts["before"], texts["behind"], F.col("_first.before").alias("b"), F.col("_first.behind").alias("e")]
+    later = texts.join(firsts, "chunk").where(other).select("_key", "place", "lines", *around)
+    grown = map_batches(later, _grown, f"{_KEY}, low int, high int")
+    return settle(grown.groupBy("_key").agg(F.collect_set(F.struct("low", "high")).alias("_seeds")), "seeds")
 
 
 def _cut(documents: DataFrame) -> tuple[DataFrame, list[Column]]:
