@@ -13,7 +13,7 @@ from haplospark.plans.runs import current_run, drop_old_runs, read_output
 from haplospark.sources.annotations import read_annotations
 from haplospark.sources.fasta import read_deflines, undecodable_files
 from haplospark.sources.digests import redundant_files
-from haplospark.sources.files import FileSet, duplicate_paths, files_at, files_left_out, find_files, find_sources
+from haplospark.sources.files import FileSet, duplicate_paths, files_at, files_left_out, find_files, find_sources, list_files, list_sources
 from haplospark.sources.layout import numbered_as_written, ordered_files, read_region, write_clustered
 from haplospark.sources.primers import read_primer_bed, rejected_primers
 from haplospark.sources.stage import read_stage, stage, with_signal, write_report, write_stage
@@ -37,6 +37,8 @@ __all__ = [
     "files_left_out",
     "find_files",
     "find_sources",
+    "list_files",
+    "list_sources",
     "haplotype_report",
     "ingest_variants",
     "mutation_codons",
