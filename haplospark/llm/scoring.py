@@ -107,7 +107,8 @@ class Lexicon:
 
 def _hot_words(counts: DataFrame, most: int) -> tuple[list[tuple[str, int]], Column]:
     """The words of the highest counts, as many whole bands of counts as fit, and the end
-    token; and a condition for all others."""
+    token; and a condition for all others. The words with ids of their own are always among
+    the first, also where a band that does not fit has them."""
     band = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
     sizes = sorted(map(tuple, counts.groupBy(band.alias("b")).count().collect()), reverse=True)
     least, total = 1 << 20, 0
@@ -116,6 +117,9 @@ def _hot_words(counts: DataFrame, most: int) -> tuple[list[tuple[str, int]], Col
             break
         least, total = at, total + size
     others = (band < least) & (F.col("word") != END.decode())
+    if total <= CLASSES * WIDTH:
+        beyond = counts.where(others).orderBy(F.col("n").desc(), "word").limit(CLASSES * WIDTH)
+        others &= ~F.col("word").isin([r["word"] for r in beyond.select("word").collect()])
     hot = counts.where(~others).select("word", "n").collect()
     return sorted(((r[0], r[1]) for r in hot), key=lambda r: (-r[1], r[0])), others
 

@@ -127,3 +127,15 @@ def test_nothing_to_learn_from(spark):
     out = next(k for k in range(99) if zlib.crc32(str(k).encode()) % 7 == 2)
     only = scoring.score_documents(spark.createDataFrame([(out, "a b", "i", 1, "n")], SCHEMA)).first()
     assert tuple(only)[:6] == (out, True, 3, 0, 0, 0.0) and math.isfinite(only["score"])
+
+
+def test_words_of_one_count_have_outputs_of_their_own(spark):
+    """No band of counts fits: the first words by count have ids still, the others their counts by a join."""
+    words = [(f"w{k:03d}", 5) for k in range(400)] + [("\n", 3)]
+    counts = spark.createDataFrame(words, "word string, n bigint")
+    lexicon, rest = scoring.make_lexicon(counts, 100)
+    own = scoring.CLASSES * scoring.WIDTH
+    assert sum(0 < k < own for k in lexicon.ids) == own - 1
+    left = {r["word"] for r in rest.collect()}
+    assert left | {w.decode() for w in lexicon.words} == {w for w, _ in words} and not left & {w.decode() for w in lexicon.words}
+    assert lexicon.totals.sum() == sum(n for _, n in words) and lexicon.totals[own:].sum() == 5 * (400 - own + 1)
