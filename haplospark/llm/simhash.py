@@ -14,8 +14,8 @@ spanning forest of the links it found, never the pairs.
 
 ``keep_one_of_each`` has a rule of its own: texts are near copies whose sets of lower-case
 five-word shingles have a Jaccard similarity of ``LEAST_SIMILAR`` or more. Candidates are
-fingerprints of these sets that share a band of minimum hashes and are within ``WIDE_RADIUS``
-bits (filtered by the same pivots). Their components are cut into pieces, and all pairs in
+fingerprints of these sets within ``RADIUS`` bits, found as above, and those that share a band of
+minimum hashes and are within ``WIDE_RADIUS`` bits (filtered by the same pivots). Their components are cut into pieces, and all pairs in
 each two pieces are verified by their sets, unless texts in between already link them.
 
 Defined cases: a null or empty text, or one of white space only, has fingerprint zero and
@@ -375,7 +375,10 @@ def similar_links_of(documents: DataFrame, key: Column, signed: DataFrame) -> Da
     cells = _with_distances(materialize(cells.distinct(), "bands"), "kind", "part")
     keys = ["kind", "part", "a", "b"]
     runs = _in_pieces(cells, PIECE).repartition(*keys).sortWithinPartitions(*keys, "_fp")
-    roots = materialize(connected_components(map_partitions(runs, _wide_linked, "u bigint, v bigint")), "candidates")
+    # fingerprints within RADIUS are found by the method of ``near_duplicates``, whatever their bands
+    close = fingerprint_links(materialize(signed.select("_fp").distinct(), "fingerprints"))
+    wide = map_partitions(runs, _wide_linked, "u bigint, v bigint")
+    roots = materialize(connected_components(wide.unionByName(close)), "candidates")
     nodes = signed.groupBy("_node", "_fp").agg(F.min("_key").alias("_key"))
     rooted = materialize(
         nodes.join(roots, nodes["_fp"] == roots["node"], "left").select(

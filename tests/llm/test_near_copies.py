@@ -96,3 +96,13 @@ def test_links_are_a_forest_of_all_near_pairs():
         assert near[a, b] and groups[a] != groups[b]
         groups = [groups[b] if g == groups[a] else g for g in groups]
     assert all(groups[a] == groups[b] for a, b in zip(*np.nonzero(near), strict=True))
+
+
+def test_close_fingerprints_are_candidates_without_a_common_band(spark):
+    """Fingerprints within two bits meet by their own bits, also where no band of minimum hashes is shared."""
+    text = " ".join(f"word{k}" for k in range(300))
+    docs = spark.createDataFrame([(1, text), (2, f"{text} more"), (3, f"{text} again")], "doc_id bigint, text string")
+    rows = [(1, 0x0FFF, [1, 2], "a"), (2, 0x0FFC, [3, 4], "b"), (3, 0x0FE3, [5, 6], "c")]
+    signed = spark.createDataFrame(rows, "_key bigint, _fp bigint, _bands array<bigint>, _node string")
+    found = simhash.similar_links_of(docs, docs["doc_id"], signed).collect()
+    assert [sorted(r) for r in found] == [["a", "b"]]
