@@ -7,7 +7,7 @@ position. Every view is a query over whole tables, so it grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haplospark import schemas as S
@@ -31,32 +31,33 @@ def _text(name: str):
     return F.col(name).cast("string")
 
 
-def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with the parts of a contig key."""
+def _contig_names() -> list[Column]:
+    """The parts of a contig key, from an order."""
     amplicon = F.concat(F.lit("QIA_"), _text("o_custkey"))
     sample = F.concat(F.lit("S"), (F.col("o_orderkey") % 12).cast("string"))
     contig = F.concat(F.lit("haplotype-"), _text("o_orderkey"))
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_totalprice",
+    return [
         amplicon.alias(S.AMPLICON),
         sample.alias(S.SAMPLE),
         contig.alias(S.CONTIG),
         F.concat(amplicon, F.lit("-"), sample, F.lit("-"), contig).alias(S.CONTIG_ID),
+    ]
+
+
+def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the parts of a contig key."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", *_contig_names()
     )
 
 
-def mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as variant cells, still with their order key."""
+def _variant_cells() -> list[Column]:
+    """The cells of a variant, from a line item; all null where there is none."""
     position = F.col("l_partkey")
     bases = F.lit("ACGT")
     flag = F.col("l_returnflag")
     coding = (flag != "N") & (F.col("l_linenumber") != 7)
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.lit("NC_045512.2").alias("REGION"),
+    return [
         position.alias("POS"),
         F.substring(bases, (1 + position % 4).cast("int"), F.lit(1)).alias("REF"),
         F.substring(
@@ -68,15 +69,26 @@ def mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(coding & (F.col("l_linestatus") == "F"), flag)
         .when(coding, "Q")
         .alias("ALT_AA"),
-    )
+    ]
+
+
+def mutations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as variant cells, still with their order key."""
+    region = F.lit("NC_045512.2").alias("REGION")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", region, *_variant_cells())
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Variant rows of every contig; one without line items has a single row of nulls."""
-    rows = mutations(spark, sf_dir)
+    """Variant rows of every contig; one without line items has a single row of nulls.
+
+    Orders and line items meet as they are, so that only keys and flags are shuffled; names
+    and cells are made from what has met.
+    """
+    orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    region = F.when(F.col("l_orderkey").isNotNull(), "NC_045512.2").alias("REGION")
     return (
-        contigs(spark, sf_dir)
-        .join(rows, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .select(region, *_variant_cells(), *_contig_names())
         .select(*S.VARIANT_COLUMNS)
     )
 
