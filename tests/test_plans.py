@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import haplospark as hs
 from haplospark import schemas as S
 from haplospark.operators import ranking
-from haplospark.plans import carriers
+from haplospark.plans import carriers, catalog
 from haplospark.plans.catalog import REGISTRY
 from haplospark.sources.variants import variants_of_files
 
@@ -56,6 +56,15 @@ def test_variants_cross_the_network_once(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_lists_go_on_with_mutations_joined_to_large_lookups(spark):
+    """Rows and lookup once for each join, rows by contig and band, then pieces by contig."""
+    variants = spark.createDataFrame(carriers.variants(spark, SF).rdd, carriers.variants(spark, SF).schema)
+    spans = spark.createDataFrame([], "Gene string, Amplicon string, `Start Position` bigint, `Stop Position` bigint")
+    codons = spark.createDataFrame([], "NUC_SUB string, CODON bigint")
+    long = hs.classify_mutations(variants, spans.hint("merge"), codons.hint("merge"))
+    assert plan_of(hs.mutation_lists(long)).count("Exchange hashpartitioning") == 6
+
+
 def test_ranking_writes_keys_only(spark, monkeypatch):
     written = []
     real = ranking.materialize
@@ -73,6 +82,20 @@ def test_distinct_combines_before_its_shuffle(spark):
     assert "Exchange" in lines[at + 1] and "HashAggregate" in lines[at + 2]
 
 
+def test_names_are_made_behind_the_join_of_orders_and_line_items(spark):
+    plan = plan_of(carriers.variants(spark, SF).select(*S.VARIANT_COLUMNS))
+    assert plan.index("haplotype-") < plan.index("Join")
+
+
+def test_depth_comes_before_the_span(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(catalog, "materialize", lambda df, label: written.append(df) or df)
+    REGISTRY["haplotype_rank"](spark, SF)
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    # the outermost join is that with the spans, which is a left one
+    assert plan[plan.index("Join ") :].startswith("Join LeftOuter")
+
+
 def test_scans_read_only_the_columns_in_use(spark):
     plan = plan_of(carriers.variants(spark, SF).select("POS", S.CONTIG_ID))
     assert "l_returnflag" not in plan and "o_totalprice" not in plan
