@@ -14,9 +14,11 @@ spanning forest of the links it found, never the pairs.
 
 ``keep_one_of_each`` has a rule of its own: texts are near copies whose sets of lower-case
 five-word shingles have a Jaccard similarity of ``LEAST_SIMILAR`` or more. Candidates are
-fingerprints of these sets within ``RADIUS`` bits, found as above, and those that share a band of
-minimum hashes and are within ``WIDE_RADIUS`` bits (filtered by the same pivots). Their components are cut into pieces, and all pairs in
-each two pieces are verified by their sets, unless texts in between already link them.
+fingerprints of these sets within ``RADIUS`` bits, found as above, and sets that share one of
+their rarest shingles, as many of each as two such sets cannot differ in. Of these, pairs whose
+sizes or parities are too far apart for the similarity are discarded, which loses none. The
+components of candidates are cut into pieces, and all pairs in each two pieces are verified by
+their sets, those within ``WIDE_RADIUS`` bits first, unless texts in between already link them.
 
 Defined cases: a null or empty text, or one of white space only, has fingerprint zero and
 links like any other; fewer than three words make one shingle; a null doc_id takes part,
@@ -26,12 +28,13 @@ but never names a component unless all ids in it are null; repeated rows each gi
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import combinations
+from fractions import Fraction
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from haplospark.llm.common import map_batches, map_partitions
@@ -48,8 +51,12 @@ PIECE = 4096
 COPY_WORDS = 5
 LEAST_SIMILAR = 0.8
 WIDE_RADIUS = 20
-#: At a similarity of 0.8 all bands differ once in some 4,600 pairs.
-BANDS, BAND_ROWS = 16, 4
+#: The same similarity in whole numbers.
+_PART, _WHOLE = Fraction(LEAST_SIMILAR).limit_denominator(1000).as_integer_ratio()
+#: Shingles are counted by this many leading bits of their hashes, in so many slices, to tell rare ones.
+COUNT_BITS, COUNT_SLICES = 18, 64
+#: Most bits of a set's parity.
+MOST_PARITY = 1 << 16
 #: Most sets of a candidate component that one of its pieces has.
 SETS = 256
 _SLICE = 128
@@ -125,6 +132,14 @@ def _cells(table: DataFrame) -> DataFrame:
     return table.select("*", F.explode(keys).alias("_cell")).select("_fp", "_d0", "_d1", "_cell.*")
 
 
+def _meetings(own: Column, pieces: Column) -> Column:
+    """The pairs ``a``, ``b`` of pieces of a group in which a row of piece ``own`` takes part."""
+    return F.transform(
+        F.sequence(F.lit(0), pieces - 1),
+        lambda other: F.struct(F.least(own, other).alias("a"), F.greatest(own, other).alias("b")),
+    )
+
+
 def _in_pieces(cells: DataFrame, piece: int) -> DataFrame:
     """Adds ``a`` and ``b``: the two pieces of the cell that meet, 0 and 0 if it is not cut."""
     crowded = settle(
@@ -132,10 +147,7 @@ def _in_pieces(cells: DataFrame, piece: int) -> DataFrame:
     ).withColumn("_pieces", F.ceil(F.col("count") / piece).cast("int"))
     joined = cells.join(crowded, ["kind", "part"], "left")
     own = F.pmod(F.xxhash64("_fp"), F.col("_pieces")).cast("int")
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("_pieces") - 1),
-        lambda other: F.struct(F.least(own, other).alias("a"), F.greatest(own, other).alias("b")),
-    )
+    meets = _meetings(own, F.col("_pieces"))
     alone = F.array(F.struct(F.lit(0).alias("a"), F.lit(0).alias("b")))
     return joined.select(
         "kind", "part", "_fp", "_d0", "_d1", F.explode(F.coalesce(meets, alone)).alias("_meet")
@@ -255,20 +267,66 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both >= LEAST_SIMILAR * (len(a) + len(b) - both)
 
 
-_FACTORS = np.array(
-    [xxhash.xxh64_intdigest(f"factor {k}", SEED) | 1 for k in range(BANDS * BAND_ROWS)], np.uint64
-)
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How common shingles are, as bytes on a scale of logarithms by the leading bits of their hashes.
+
+    It sets an order of shingles alone: which one does not change what is found.
+    """
+    width = (1 << COUNT_BITS) // COUNT_SLICES
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held = np.zeros(1 << COUNT_BITS, np.int64), []
+
+        def add() -> None:
+            leading = np.concatenate([np.zeros(0, np.int64), *held])
+            np.add(counts, np.bincount(leading, minlength=len(counts)), out=counts)
+            held.clear()
+
+        for batch in batches:
+            for text in batch.column(0):
+                held.append((shingle_set(text.as_py() or b"") >> np.uint64(64 - COUNT_BITS)).astype(np.int64))
+                if len(held) == 1000:
+                    add()
+        add()
+        parts = [counts[k * width : (k + 1) * width].tobytes() for k in range(COUNT_SLICES)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(COUNT_SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                totals[k] = totals.get(k, 0) + np.frombuffer(part, np.int64)
+        columns = [pa.array(totals.keys(), pa.int32()), pa.array([t.tobytes() for t in totals.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["slice", "counts"])
+
+    schema = "slice int, counts binary"
+    slices = map_partitions(map_partitions(texts, counted, schema).repartition("slice"), summed, schema).collect()
+    found = np.zeros((COUNT_SLICES, width), np.int64)
+    for row in slices:
+        found[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    return np.minimum(np.log2(found.ravel() + 1) * 8, 255).astype(np.uint8)
+
+
+def rarest(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest shingles of a set, in one order for all sets.
+
+    A similar set has all but a few of this set's shingles, so it has one of these; and where both
+    are cut in the same order, one is among the rarest of both.
+    """
+    few = len(hashes) + 1 + -len(hashes) * _PART // _WHOLE if len(hashes) else 0
+    order = np.argsort(counts[hashes >> np.uint64(64 - COUNT_BITS)], kind="stable")
+    return hashes[order[:few]].view(np.int64)
+
 
+def parity(hashes: np.ndarray) -> bytes:
+    """Whether an odd number of hashes ends in each number: bits for about as many as there are hashes.
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A hash of every band of minimum hashes; none for an empty set."""
-    if not len(hashes):
-        return np.zeros(0, np.int64)
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        least = np.minimum(least, (hashes[at : at + 2048, None] * _FACTORS).min(0))
-    rows = least.reshape(BANDS, BAND_ROWS)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), SEED) for r in rows], np.uint64).view(np.int64)
+    Every hash that one of two sets has alone changes one bit, so two parities differ in no
+    more bits than the sets in hashes.
+    """
+    width = min(max(64, 1 << max(len(hashes) - 1, 0).bit_length()), MOST_PARITY)
+    odd = np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
 def _set_fingerprint(hashes: np.ndarray) -> int:
@@ -279,16 +337,19 @@ def _set_fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def _signed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    fps, whole, parts = [], [], []
+def _signed(batch: pa.RecordBatch, counts: np.ndarray) -> pa.RecordBatch:
+    fps, whole, sizes, parities, few = [], [], [], [], []
     for text in batch.column(batch.num_columns - 1):
         hashes = shingle_set(text.as_py() or b"")
         fps.append(_set_fingerprint(hashes))
         whole.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-        parts.append(bands(hashes))
+        sizes.append(len(hashes))
+        parities.append(parity(hashes))
+        few.append(rarest(hashes, counts))
     both = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (fps, whole)]
-    columns = [*batch.columns[:-1], *both, pa.array(parts, pa.list_(pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "_fp", "_set", "_bands"])
+    others = [pa.array(sizes, pa.int32()), pa.array(parities, pa.binary()), pa.array(few, pa.list_(pa.int64()))]
+    columns = [*batch.columns[:-1], *both, *others]
+    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "_fp", "_set", "_size", "_parity", "_rarest"])
 
 
 def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -325,13 +386,11 @@ def wide_links(fps: np.ndarray, distances: np.ndarray) -> Iterator[tuple[int, in
     return _forest(len(fps), near)
 
 
-def _wide_linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _linked(batches, wide_links)
-
-
-def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the similar sets."""
-    label = list(range(len(sets)))
+def close_sets(sizes: list[int], parities: list[bytes]) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the sets whose sizes and parities do not rule their similarity out."""
+    order = sorted(range(len(sizes)), key=sizes.__getitem__)
+    bits = [(8 * len(p), int.from_bytes(p, "little")) for p in parities]
+    label = list(range(len(sizes)))
 
     def root(k: int) -> int:
         while label[k] != k:
@@ -339,20 +398,104 @@ def similar_links(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
             k = label[k]
         return k
 
-    for k in range(1, len(sets)):
-        for other in range(k):
+    def apart(a: int, b: int) -> int:
+        (wa, x), (wb, y) = bits[a], bits[b]
+        while wa > wb:  # the upper half of the numbers goes to the lower one
+            wa //= 2
+            x = (x >> wa) ^ (x & ((1 << wa) - 1))
+        while wb > wa:
+            wb //= 2
+            y = (y >> wb) ^ (y & ((1 << wb) - 1))
+        return (x ^ y).bit_count()
+
+    least = 0
+    for at, k in enumerate(order):
+        while sizes[order[least]] * _WHOLE < sizes[k] * _PART:
+            least += 1
+        for other in order[least:at]:
             a, b = root(k), root(other)
-            if a != b and similar(sets[k], sets[other]):
+            if a != b and apart(k, other) * (_WHOLE + _PART) <= (sizes[k] + sizes[other]) * (_WHOLE - _PART):
                 label[a] = b
                 yield k, other
 
 
+def _close_linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of close sets within each run of equal (part, a, b); runs may span batches."""
+    run, fps, sizes, parities, found = None, [], [], [], []
+
+    def told() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    def solved() -> None:
+        if len(fps) > 1:
+            found.extend((fps[x], fps[y]) for x, y in close_sets(sizes, parities) if fps[x] != fps[y])
+
+    for batch in batches:
+        for *key, fp, size, odd in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != run:
+                solved()
+                run, fps, sizes, parities = key, [], [], []
+            fps.append(fp)
+            sizes.append(size)
+            parities.append(odd)
+        if found:
+            yield told()
+            found.clear()
+    solved()
+    yield told()
+
+
+def rare_links(signed: DataFrame) -> DataFrame:
+    """Links (u, v) of fingerprints whose sets share one of their rarest shingles and are close.
+
+    They connect every two sets at ``LEAST_SIMILAR``. Shingles that one set alone has are dropped
+    first; a crowded one is cut into pieces, every two of which meet.
+    """
+    distinct = materialize(signed.drop("_key", "_node").dropDuplicates(["_fp", "_set"]), "distinct")
+    cells = distinct.select("_fp", "_set", F.explode("_rarest").alias("part"))
+    sharing = F.count(F.lit(1)).over(Window.partitionBy("part"))
+    shared = materialize(cells.withColumn("_sharing", sharing).where("_sharing > 1"), "shared")
+    pieces = F.ceil(F.col("_sharing") / PIECE).cast("int")
+    own = F.pmod(F.xxhash64("_set"), pieces).cast("int")
+    whole = shared.join(distinct.select("_fp", "_set", "_size", "_parity"), ["_fp", "_set"])
+    met = whole.select("part", F.explode(_meetings(own, pieces)).alias("_meet"), "_set", "_fp", "_size", "_parity")
+    keys = ["part", "a", "b"]
+    runs = met.select("part", "_meet.*", "_set", "_fp", "_size", "_parity").repartition(*keys)
+    ordered = runs.sortWithinPartitions(*keys, "_set").drop("_set")
+    return map_partitions(ordered, _close_linked, "u bigint, v bigint").distinct()
+
+
+def similar_links(sets: list[np.ndarray], first: Iterator[tuple[int, int]] = ()) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the similar sets; ``first`` are pairs to look at before the others."""
+    label = list(range(len(sets)))
+
+    def root(k: int) -> int:
+        while label[k] != k:
+            label[k] = label[label[k]]
+            k = label[k]
+        return k
+
+    for k, other in chain(first, ((k, other) for k in range(1, len(sets)) for other in range(k))):
+        a, b = root(k), root(other)
+        if a != b and similar(sets[k], sets[other]):
+            label[a] = b
+            yield k, other
+
+
+def _likely_pairs(fps: list[int]) -> Iterator[tuple[int, int]]:
+    """Pairs that connect fingerprints within ``WIDE_RADIUS``."""
+    prints = np.array(fps, np.uint64)
+    refs = np.array(pivots()).astype(np.uint64)
+    return wide_links(prints, np.bitwise_count(prints[:, None] ^ refs[None, :]).astype(np.int16))
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of similar sets within each run of equal (_root, a, b); runs may span batches."""
     run, nodes, sets = None, [], []
 
     def solved() -> pa.RecordBatch:
-        found = [(nodes[x], nodes[y]) for x, y in similar_links(sets)]
+        fps = [int(node.partition("-")[0], 16) for node in nodes]
+        found = [(nodes[x], nodes[y]) for x, y in similar_links(sets, _likely_pairs(fps))]
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.string()) for k in (0, 1)], ["u", "v"])
 
     for batch in batches:
@@ -367,18 +510,16 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solved()
 
 
-def similar_links_of(documents: DataFrame, key: Column, signed: DataFrame) -> DataFrame:
-    """Verified links (u, v) of nodes, the distinct sets of ``signed``."""
-    cells = signed.select("_fp", F.posexplode("_bands").alias("_kind", "part")).select(
-        F.col("_kind").cast("byte").alias("kind"), "part", "_fp"
-    )
-    cells = _with_distances(materialize(cells.distinct(), "bands"), "kind", "part")
-    keys = ["kind", "part", "a", "b"]
-    runs = _in_pieces(cells, PIECE).repartition(*keys).sortWithinPartitions(*keys, "_fp")
-    # fingerprints within RADIUS are found by the method of ``near_duplicates``, whatever their bands
-    close = fingerprint_links(materialize(signed.select("_fp").distinct(), "fingerprints"))
-    wide = map_partitions(runs, _wide_linked, "u bigint, v bigint")
-    roots = materialize(connected_components(wide.unionByName(close)), "candidates")
+def similar_links_of(documents: DataFrame, key: Column, signed: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """Verified links (u, v) of nodes, the distinct sets of ``signed``.
+
+    Candidates are fingerprints within ``RADIUS``, found by the method of ``near_duplicates``, and those
+    that ``others`` links.
+    """
+    links = fingerprint_links(materialize(signed.select("_fp").distinct(), "fingerprints"))
+    if others is not None:
+        links = links.unionByName(others)
+    roots = materialize(connected_components(links), "candidates")
     nodes = signed.groupBy("_node", "_fp").agg(F.min("_key").alias("_key"))
     rooted = materialize(
         nodes.join(roots, nodes["_fp"] == roots["node"], "left").select(
@@ -398,10 +539,7 @@ def similar_links_of(documents: DataFrame, key: Column, signed: DataFrame) -> Da
         ).dropDuplicates(["_node"]),
         "sets",
     )
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("_pieces") - 1),
-        lambda other: F.struct(F.least("_own", other).alias("a"), F.greatest("_own", other).alias("b")),
-    )
+    meets = _meetings(F.col("_own"), F.col("_pieces"))
     met = sets.select("_root", F.explode(meets).alias("_meet"), "_node", "_hashes").select(
         "_root", "_meet.*", "_node", "_hashes"
     )
@@ -421,9 +559,15 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     )
     narrow = documents.select(key.alias("_key"), F.col("text").cast("binary").alias("_bytes"))
     kind = narrow.schema["_key"].dataType.simpleString()
-    found = map_batches(narrow, _signed, f"_key {kind}, _fp bigint, _set bigint, _bands array<bigint>")
+    counts = shingle_counts(narrow.select("_bytes"))
+
+    def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return _signed(batch, counts)
+
+    schema = f"_key {kind}, _fp bigint, _set bigint, _size int, _parity binary, _rarest array<bigint>"
+    found = map_batches(narrow, sign, schema)
     marked = materialize(found.withColumn("_node", F.concat(F.hex("_fp"), F.lit("-"), F.hex("_set"))), "signed")
-    roots = materialize(connected_components(similar_links_of(documents, key, marked)), "components")
+    roots = materialize(connected_components(similar_links_of(documents, key, marked, rare_links(marked))), "components")
     named = marked.select("_key", "_node").join(roots, marked["_node"] == roots["node"], "left").select(
         "_key", F.coalesce("root", "_node").alias("_root")
     )

@@ -106,3 +106,30 @@ def test_close_fingerprints_are_candidates_without_a_common_band(spark):
     signed = spark.createDataFrame(rows, "_key bigint, _fp bigint, _bands array<bigint>, _node string")
     found = simhash.similar_links_of(docs, docs["doc_id"], signed).collect()
     assert [sorted(r) for r in found] == [["a", "b"]]
+
+
+def test_short_texts_lose_no_link(spark):
+    """Pairs of four and five shingles: one more sets many bits, and rarely leaves a band of minimum hashes as it was."""
+    draw, rows = random.Random(14), []
+    for k in range(4000):
+        words = ["v%x" % draw.getrandbits(40) for _ in range(9)]
+        rows += [(2 * k, " ".join(words[:8])), (2 * k + 1, " ".join(words if k % 2 else ["b%x" % k, *words[:8]]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).select("doc_id").collect()} == set(range(0, 8000, 2))
+
+
+def test_what_discards_candidates_loses_none():
+    """Similar sets share one of their rarest shingles, and are close by size and parity, at any size."""
+    draw = np.random.default_rng(5)
+    counts = draw.integers(0, 200, 1 << simhash.COUNT_BITS, dtype=np.uint64).astype(np.uint8)
+    for size in (1, 4, 5, 9, 63, 64, 65, 130, 1000, 70_000):
+        whole = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+        for cut in {0, size // 10, size - -(-size * 4 // 5)}:
+            part = np.sort(draw.choice(whole, len(whole) - cut, replace=False))
+            assert simhash.similar(whole, part)
+            assert set(simhash.rarest(whole, counts).tolist()) & set(simhash.rarest(part, counts).tolist())
+            sizes, parities = [len(whole), len(part)], [simhash.parity(whole), simhash.parity(part)]
+            assert len(list(simhash.close_sets(sizes, parities))) == 1
+    other = np.unique(draw.integers(0, 2**64, 1000, dtype=np.uint64))
+    whole = np.unique(draw.integers(0, 2**64, 1000, dtype=np.uint64))
+    assert not list(simhash.close_sets([1000, 1000], [simhash.parity(whole), simhash.parity(other)]))
