@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import haplospark as hs
 from haplospark import schemas as S
+from haplospark import scratch
+from haplospark.operators import mutations
 from haplospark.operators.mutations import BAND_WIDTH as BAND
 from haplospark.operators.mutations import attach_codons, attach_spans, label_variants
 from haplospark.scratch import broadcast_if_bounded, materialize, scratch_folder, settle
@@ -345,3 +347,39 @@ def test_broadcast_only_within_the_bound(spark):
         assert small.count() == big.count() == none.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_packed_variants_come_back(spark, rows):
+    """Also with null names and cells, keys that are not made of their parts, and texts with what separates."""
+    names = [("A-b", "S", "c-1"), ("é", "", "日"), (None, "S", "c"), ("A", None, None), ("\x01", "\x02", "-")]
+    cells = [("r", "A", "C", "K", "N"), (None,) * 5, ("", "\x01", "é", "\x02", "-"), ("\x02", "", "x\x02", "", "")]
+    found = [(r, 7 if r else None, *some, *n, i) for n in names for r, *some in cells for i in ("-".join(x or "" for x in n), "other", None)]
+    schema = ", ".join(f"`{c}` {'bigint' if c == 'POS' else 'string'}" for c in S.VARIANT_COLUMNS)
+    table = spark.createDataFrame(found, schema)
+    odd = table.where("POS = 7").limit(3).withColumn("ALT", F.expr("cast(X'41ff' as string)"))
+    table = table.union(odd.select(*table.columns))
+    whole = lambda df: rows(df.select([F.hex(F.col(f"`{c}`").cast("string")) for c in S.VARIANT_COLUMNS]))
+    small = mutations.packed(table)
+    assert 0 < small.where("_cells IS NULL").count() < small.count()
+    assert whole(mutations.unpacked(small)) == whole(table)
+
+
+def test_steps_hold_one_shuffle_at_a_time(spark, rows, tmp_path, monkeypatch):
+    """With large lookups rows are written between joins, the last ones only, and the results are the same."""
+    variants = [("r", k % 5, "A", "C", "K", "N", f"A{k % 3}", "S", f"c{k % 7}", f"A{k % 3}-S-c{k % 7}") for k in range(60)]
+    schema = ", ".join(f"`{c}` {'bigint' if c == 'POS' else 'string'}" for c in S.VARIANT_COLUMNS)
+    table = spark.createDataFrame(variants, schema)
+    spans = spark.createDataFrame([("S", "A0", 1, 9), ("N", "A0", 1, 9), (None, "A1", 2, None)], "Gene string, Amplicon string, `Start Position` bigint, `Stop Position` bigint")
+    codons = spark.createDataFrame([("A-1-C", 4), ("A-1-C", 5)], "NUC_SUB string, CODON bigint")
+    monkeypatch.setattr(scratch, "scratch_folder", lambda spark: str(tmp_path))
+    step = scratch.steps(False)
+    long = mutations.classify_mutations(table, spans.hint("merge"), codons.hint("merge"), step)
+    short = hs.summarize_contigs(long, spans, step)
+    plain = hs.summarize_contigs(mutations.classify_mutations(table, spans, codons), spans)
+    assert rows(short) == rows(plain) and len(rows(plain)) > 7
+    assert len(list((tmp_path / "haplospark").iterdir())) == 1
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(key)
+    with scratch.shuffles_freed(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == kept

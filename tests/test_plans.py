@@ -99,3 +99,15 @@ def test_depth_comes_before_the_span(spark, monkeypatch):
 def test_scans_read_only_the_columns_in_use(spark):
     plan = plan_of(carriers.variants(spark, SF).select("POS", S.CONTIG_ID))
     assert "l_returnflag" not in plan and "o_totalprice" not in plan
+
+
+def test_texts_travel_packed_to_large_lookups(spark):
+    variants = spark.createDataFrame(carriers.variants(spark, SF).rdd, carriers.variants(spark, SF).schema)
+    spans = spark.createDataFrame([], "Gene string, Amplicon string, `Start Position` bigint, `Stop Position` bigint")
+    codons = spark.createDataFrame([], "NUC_SUB string, CODON bigint")
+    long = hs.classify_mutations(variants, spans.hint("merge"), codons.hint("merge"))
+    plan = long._jdf.queryExecution().optimizedPlan().toString()
+    assert "_plain" in plan and plan.index("REF_AA") < plan.index("Join LeftOuter")
+    below = plan[plan.index("Join LeftOuter") :].splitlines()
+    joins = [k for k, line in enumerate(below) if "Join LeftOuter" in line]
+    assert not any("REF_AA#" in line.split(" AS ")[-1] for line in below[: joins[1] + 1])
